@@ -28,4 +28,5 @@ def cosine_distance(a: Column, b: Column, norm_a: Column | None = None,
                     norm_b: Column | None = None) -> Column:
     na = norm_a if norm_a is not None else norm(a)
     nb = norm_b if norm_b is not None else norm(b)
-    return F.lit(1.0) - dot(a, b) / (na * nb)
+    # A zero vector has no direction: treat it as orthogonal (distance 1).
+    return F.lit(1.0) - F.coalesce(F.try_divide(dot(a, b), na * nb), F.lit(0.0))
