@@ -151,8 +151,11 @@ def _bot_inputs(spark, sf_dir):
 
 def _answers(spark, sf_dir, requests):
     lex, store, trending, refs = _bot_inputs(spark, sf_dir)
-    routes = bot.request_routes(requests, refs)
-    matches = bot.summarize_posts(topics.extract_topics(requests, lex), store)
+    routes = bot.request_routes(requests, refs).persist()
+    # the summarisation handler runs only for requests routed to it
+    wanted = requests.join(routes.filter(F.array_contains("routes", F.lit(rf.SUMMARY_ROUTE))),
+                           "request_id", "left_semi")
+    matches = bot.summarize_posts(topics.extract_topics(wanted, lex), store)
     match_topics = (matches.join(store.select("doc_id", F.explode("topics").alias("topic")), "doc_id"))
     return routes, trending, matches, store, bot.offline_answers(routes, trending, match_topics)
 
