@@ -107,3 +107,15 @@ def q_post_vector_search(spark, sf_dir):
     store = query_vectors(spark, sf_dir).select(F.col("query_id").alias("post_id"), "embedding")
     strategy = "pack_queries" if knn._fits(searches, "embedding", knn.PACK_MAX_BYTES)[0] else "auto"
     return knn.nearest(searches, store, 5, r_id="post_id", strategy=strategy)
+
+
+@register("semantic_cache_fill")
+def q_semantic_cache_fill(spark, sf_dir):
+    """V6: all ``embeddings`` vectors as requests in ``vec_id`` order filling
+    an initially empty cache (answer = ``'a' || source_id``).  No SQL form
+    (sequential dependency); checked against a plain loop in the tests."""
+    from postlake.operators.cache import semantic_cache_fill
+    from postlake.sources.tables import read_table
+    e = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    out = semantic_cache_fill(e, FIX_CACHE)
+    return out.withColumn("answer", F.concat(F.lit("a"), F.col("source_id").cast("string")))
