@@ -101,12 +101,11 @@ SELECT search_id, post_id, round(distance, 9) AS distance, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY search_id ORDER BY distance, post_id) AS rank FROM d)
 WHERE rank <= 5""")
 def q_post_vector_search(spark, sf_dir):
-    """V7: a few search vectors against a growing post store: the search
-    side is packed and broadcast (after its size check), the store streams."""
+    """V7: a few search vectors against a growing post store: the store is
+    cut into packed blocks and every search vector visits every block."""
     searches = ref_vectors(spark, sf_dir).select(F.col("ref_id").alias("search_id"), "embedding")
     store = query_vectors(spark, sf_dir).select(F.col("query_id").alias("post_id"), "embedding")
-    strategy = "pack_queries" if knn._fits(searches, "embedding", knn.PACK_MAX_BYTES)[0] else "auto"
-    return knn.nearest(searches, store, 5, r_id="post_id", strategy=strategy)
+    return knn.nearest(searches, store, 5, r_id="post_id", strategy="blocked")
 
 
 @register("semantic_cache_fill")
