@@ -49,9 +49,21 @@ def _load() -> None:
                 raise
 
 
+def _utc(fn: QueryFn) -> QueryFn:
+    """Fixture timestamps are wall-clock (TIMESTAMP_NTZ); casts to session
+    timestamps (watermarks, epoch micros) must not shift them, so every
+    query runs with a UTC session time zone."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, QueryFn]:
     _load()
-    return dict(_QUERIES)
+    return {k: _utc(v) for k, v in _QUERIES.items()}
 
 
 def all_oracle_sql() -> dict[str, str]:
