@@ -57,8 +57,9 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                     if len(key) >= min_chars and (key.isascii() or len(key.decode("utf-8", "surrogatepass")) >= min_chars):
                         found.setdefault(xxhash.xxh3_128_digest(key), []).append(i)
             if found:
-                for k, (k1, k2) in zip(found, np.frombuffer(b"".join(found), "<i8").reshape(-1, 2).tolist(), strict=True):
-                    yield k1, k2, doc_id, text_hash, found[k]
+                hashes = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2).tolist()
+                for (k1, k2), pos in zip(hashes, found.values(), strict=True):
+                    yield k1, k2, doc_id, text_hash, pos
 
     return map_rows(docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text"), keys, _KEYS)
@@ -135,7 +136,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     def pack(rows):
         for doc_id, text_hash, pos in rows:
             pos = np.unique(np.asarray(pos, np.int64))
-            bits = np.ones(int(pos[-1]) + 1, bool)
+            bits = np.ones((int(pos[-1]) // 8 + 1) * 8, bool)
             bits[pos] = False
             yield doc_id, text_hash, len(pos), zlib.compress(np.packbits(bits, bitorder="little").tobytes())
 
