@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import uuid
 
 from pyspark.sql import functions as F
 
-from postlake.llm import line_dedup, quality_rules
+from postlake.llm import bpe, line_dedup, quality_rules, warc
 from postlake.llm.common import map_rows, table
+from postlake.session import shared_dir
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -22,6 +25,40 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer file; ``POSTLAKE_TOKENIZERS`` overrides the folder."""
+    if folder := os.environ.get("POSTLAKE_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op3_bpe")
+def op3(spark, sf_dir):
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op6_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to FROM m""")
+def op6(spark, sf_dir):
+    path = f"{shared_dir(spark)}/llm-warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    c = warc.assemble(warc.read_records(spark, path, with_payload=False))
+    fields = F.col("metadata.fields")
+    return c.select(fields["page-id"].cast("long").alias("page_id"),
+                    F.when(F.col("response.type") == "response", F.col("response.payload_bytes"))
+                    .otherwise(fields["payload-bytes"].cast("long")).alias("payload_bytes"),
+                    F.when(F.col("response.type") == "response", F.col("response.payload_sha1"))
+                    .otherwise(F.substring_index("response.payload_digest", ":", -1)).alias("payload_digest"),
+                    F.col("response.type").alias("record_type"), fields["refers-to-page-id"].cast("long").alias("refers_to"))
+
+
 @query("op7_quality_rules")
 def op7(spark, sf_dir):
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
