@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, line_dedup, quality_rules, warc
+from postlake.llm import bpe, line_dedup, pii, quality_rules, secrets, warc
 from postlake.llm.common import map_rows, table
 from postlake.session import shared_dir
 
@@ -25,6 +25,30 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def spans_text(spans: str, kinds: tuple[str, ...] | None = None) -> F.Column:
+    """kind:start:end of a span column (of ``kinds``, else all), comma-joined."""
+    col = F.col(spans) if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_digest(found, base: tuple[str, ...]):
+    """Counts of the base kinds, the digest of their spans, and all spans."""
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, base),
+                        F.sha2(spans_text("spans", base), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
+
+
+@query("op1_secrets")
+def op1(spark, sf_dir):
+    return span_digest(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.KINDS[:3])
+
+
+@query("op4_pii")
+def op4(spark, sf_dir):
+    return span_digest(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE)
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """Place of a public tokenizer file; ``POSTLAKE_TOKENIZERS`` overrides the folder."""
     if folder := os.environ.get("POSTLAKE_TOKENIZERS"):
