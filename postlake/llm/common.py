@@ -18,7 +18,7 @@ ASCII_LOWER = ASCII_UPPER.lower()
 
 #: Rows of one Arrow batch are handled in slices of about this many bytes of
 #: text, so the working arrays of a task stay bounded.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

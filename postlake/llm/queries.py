@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, line_dedup, pii, quality_rules, secrets, warc
+from postlake.llm import bpe, licenses, line_dedup, pii, quality_rules, secrets, urls, warc
 from postlake.llm.common import map_rows, table
 from postlake.session import shared_dir
 
@@ -64,6 +64,11 @@ def op3(spark, sf_dir):
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op5_licenses")
+def op5(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op6_warc", """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
@@ -88,6 +93,11 @@ def op7(spark, sf_dir):
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op9_url_filter")
+def op9(spark, sf_dir):
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @query("op10_line_dedup")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
