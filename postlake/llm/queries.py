@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, licenses, line_dedup, pii, quality_rules, secrets, urls, warc
+from postlake.llm import bpe, licenses, line_dedup, neardup, pii, quality_rules, secrets, urls, warc
 from postlake.llm.common import map_rows, table
 from postlake.session import shared_dir
 
@@ -39,6 +39,25 @@ def span_digest(found, base: tuple[str, ...]):
                         F.sha2(spans_text("spans", base), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
 
 
+@query("op2_neardup", """
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) END AS sh FROM w),
+c AS (SELECT doc_id, len(sh) AS n, md5(array_to_string(list_sort(sh), chr(10))) AS k FROM s),
+r AS (SELECT k, n, min(doc_id) AS rep FROM c WHERE n > 0 GROUP BY k, n),
+x AS (SELECT r.rep, r.n, unnest(s.sh) AS sh FROM r JOIN s ON s.doc_id = r.rep),
+p AS (SELECT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.sh = b.sh AND a.rep < b.rep
+      GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+z AS (WITH RECURSIVE reach(node, label) AS (SELECT rep, rep FROM r UNION SELECT e.b, reach.label FROM reach JOIN e ON e.a = reach.node)
+      SELECT node, min(label) AS comp FROM reach GROUP BY node)
+SELECT c.doc_id, c.n AS n_shingles, coalesce(z.comp, c.doc_id) AS component_id, coalesce(z.comp, c.doc_id) = c.doc_id AS kept
+FROM c LEFT JOIN r ON r.k = c.k AND r.n = c.n LEFT JOIN z ON z.node = r.rep""")
+def op2(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query("op1_secrets")
 def op1(spark, sf_dir):
     return span_digest(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.KINDS[:3])
