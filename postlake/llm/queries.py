@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, licenses, line_dedup, neardup, pii, quality_rules, secrets, urls, warc
+from postlake.llm import bpe, decontaminate, licenses, line_dedup, neardup, pii, quality_rules, secrets, urls, warc
 from postlake.llm.common import map_rows, table
 from postlake.session import shared_dir
 
@@ -112,6 +112,11 @@ def op7(spark, sf_dir):
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op8_decontaminate")
+def op8(spark, sf_dir):
+    return decontaminate.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_url_filter")
 def op9(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
