@@ -7,12 +7,14 @@ empty strings, ``List.toString`` renders ``[a, b]``.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's).
 CLAUSE_DELIMITERS = r'[!?,.:;()"\[\]{}]+'      # clause splitting
-BOT_HANDLE = "@devbubble.bsky.social"            # the bot's mention handle
 REPLY_MAX_CHARS = 300                            # reply chunk length
 NO_ROUTE_APOLOGY = ("Sorry, I couldn't find any relevant information for your query. "
                     "Please try asking me to talk about trending topics or summarizing posts..")
@@ -41,32 +43,53 @@ def split_clauses(text: Column) -> Column:
     return F.filter(F.transform(parts, java_trim), lambda s: s != F.lit(""))
 
 
+def utf16_length(s: str) -> int:
+    """Length as Java counts it: two units for characters beyond U+FFFF."""
+    return len(s) + sum(c > "\uffff" for c in s) if not s.isascii() else len(s)
+
+
+_BLANKS = re.compile(r"[ \t\n\x0b\f\r]+")
+_TRIMMED = "".join(map(chr, range(33)))
+
+
+def pack_words(text: str | None, max_len: int) -> list[str] | None:
+    """One linear pass over the words of a text (see ``chunk_text``)."""
+    if text is None:
+        return None
+    words = _BLANKS.split(text)
+    while words and words[-1] == "" and len(words) > 1:
+        words.pop()
+    if text and words == [""]:
+        return []
+    out, cur, size = [], [], 0
+    for w in words:
+        n = utf16_length(w) + 1
+        if size + n > max_len:
+            out.append(" ".join(cur).strip(_TRIMMED))
+            cur, size = [], 0
+        cur.append(w)
+        size += n
+    out.append(" ".join(cur).strip(_TRIMMED))
+    return out
+
+
 def chunk_text(text: Column, max_len: int = REPLY_MAX_CHARS) -> Column:
     """Greedy word packing on ``\\s+`` (reference quirks kept).
 
     A word is appended with a trailing space; before appending, the current
     chunk is flushed (trimmed) when ``len(cur) + len(word) + 1 > max_len``.
-    Hence trimmed chunks have at most ``max_len - 1`` characters, an over-long
-    first word emits an empty first chunk, and long words are never cut.
-    Trailing whitespace is removed first because Java's ``split`` drops the
-    trailing empty string; an all-blank text has no chunk.
+    Lengths are in UTF-16 units, as in Java.  Hence trimmed chunks have at most
+    ``max_len - 1`` units, an over-long first word emits an empty first chunk,
+    and long words are never cut.  Trailing whitespace is removed first because
+    Java's ``split`` drops the trailing empty string; an all-blank text has no
+    chunk.  The packing is sequential, so it is one pass per text in Arrow
+    batches.
     """
-    words = F.split(F.regexp_replace(text, r"\s+$", ""), r"\s+")
-    init = F.struct(F.array().cast("array<string>").alias("chunks"), F.lit("").alias("cur"))
-
-    def step(acc, w):
-        flush = F.length(acc["cur"]) + F.length(w) + 1 > F.lit(max_len)
-        return F.when(flush, F.struct(F.array_append(acc["chunks"], java_trim(acc["cur"])).alias("chunks"),
-                                      F.concat(w, F.lit(" ")).alias("cur"))) \
-                .otherwise(F.struct(acc["chunks"].alias("chunks"),
-                                    F.concat(acc["cur"], w, F.lit(" ")).alias("cur")))
-
-    def finish(acc):
-        return F.when(F.length(acc["cur"]) > 0, F.array_append(acc["chunks"], java_trim(acc["cur"]))) \
-                .otherwise(acc["chunks"])
+    @F.pandas_udf("array<string>")
+    def pack(texts: pd.Series) -> pd.Series:
+        return pd.Series([pack_words(t, max_len) for t in texts])
 
-    packed = F.aggregate(words, init, step, finish)
-    return F.when(text.rlike(r"^\s+$"), F.array().cast("array<string>")).otherwise(packed)
+    return pack(text)
 
 
 def parse_topics(model_output: Column) -> Column:
@@ -75,7 +98,7 @@ def parse_topics(model_output: Column) -> Column:
     return F.filter(F.transform(parts, java_trim), lambda s: s != F.lit(""))
 
 
-def strip_mention(text: Column, handle: str = BOT_HANDLE) -> Column:
+def strip_mention(text: Column, handle: str) -> Column:
     """T4: remove every occurrence of the bot handle, then trim."""
     return java_trim(F.replace(text, F.lit(handle), F.lit("")))
 

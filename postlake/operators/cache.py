@@ -1,99 +1,113 @@
 """Semantic cache filling with the reference's sequential semantics (V6).
 
-Requests are answered in id order.  Request j *hits* iff some earlier
-request that was inserted (a *leader*: a miss) lies strictly within
-``max_distance``; it then gets the answer of its nearest earlier leader.
-Otherwise it misses, is answered and inserted.
-
-Rounds, each cut by a checkpoint in the shared folder:
-
-1. every undecided request with an earlier known leader within the limit
-   is a hit (one projection against the packed leader set; a leader set
-   beyond the pack budget is an error, not a silent truncation);
-2. the ``window`` smallest undecided ids (all earlier ids are decided) are
-   resolved in order inside one task (bounded: at most ``window`` rows and
-   their own leaders); new leaders join the leader set.
-
-Near-duplicate clusters collapse in step 1 after their first leader, so no
-threshold graph (pairs) is ever materialised.  Finally each hit takes its
-nearest earlier leader.
+Requests are answered in id order.  Request j *hits* iff some entry inserted
+earlier (an entry of the initial cache, or an earlier miss with an answer: a
+*leader*) lies strictly within ``max_distance``; it then gets the answer of
+the nearest such entry.  Otherwise it misses, is answered and inserted.  A
+request whose answer is blank is a miss and is not inserted.
+
+Rounds, each a written table in the shared folder:
+
+1. the ``window`` smallest ids not yet known to hit are resolved in order in
+   one task (``window`` rows at most); the leaders among them are final;
+2. these new leaders, at most ``window``, are broadcast and every remaining
+   row is scored against them alone, in Arrow batches; rows keep the best
+   earlier entry so far;
+3. rows up to the window's last id are finished and leave the work table.
+
+So neither a broadcast nor a task grows with the leader set, and each row is
+scored once against each earlier leader.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions.vectors import cosine_distance, norm, to_double
-from postlake.operators.knn import PACK_MAX_BYTES, _fits
-from postlake.session import shared_dir
+from postlake.operators.knn import matrix, nearest
+from postlake.session import scratch_path
 
 WINDOW = 2000
+_STATE = "id long, vec array<double>, blank boolean, best double, source long, cached boolean"
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "cache-fill")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _resolve(t: float):
+    """The leaders of one window, in id order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).sort_by("id")
+        unit, blank = matrix(rows["vec"]), rows["blank"].to_pylist()
+        lead: list[int] = []
+        for i in range(len(unit)):
+            if not blank[i] and not (lead and bool((1.0 - unit[lead] @ unit[i] < t).any())):
+                lead.append(i)
+        leaders = rows.take(pa.array(lead, pa.int64())).select(["id", "vec"])
+        yield from leaders.combine_chunks().to_batches()
+    return run
+
 
+def _score(leaders):
+    """Best earlier entry of each row, given the broadcast new leaders."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, unit = leaders.value
+        for batch in batches:
+            own, best = batch["id"].to_numpy(), batch["best"].to_numpy(zero_copy_only=False).astype(float)
+            source, cached = batch["source"].to_pylist(), batch["cached"].to_pylist()
+            d = 1.0 - matrix(batch["vec"], unit.shape[1]) @ unit.T
+            d[ids[None, :] >= own[:, None]] = np.inf
+            at = d.argmin(1)
+            low = d[np.arange(len(d)), at]
+            for i in np.flatnonzero((low < best) | (np.isnan(best) & np.isfinite(low))):
+                best[i], source[i], cached[i] = low[i], int(ids[at[i]]), False
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["vec"], batch["blank"], pa.array(best, from_pandas=True),
+                                              pa.array(source, pa.int64()), pa.array(cached, pa.bool_())], names=["id", "vec", "blank", "best", "source", "cached"])
+    return run
 
-def _earlier_leader_dist(df: DataFrame, leaders: DataFrame) -> DataFrame:
-    """``__best``: struct(distance, leader id) of the nearest earlier leader."""
-    packed = F.broadcast(leaders.agg(F.collect_list(F.struct("id", "__v", "__n")).alias("__L")))
-    cand = F.transform(F.filter(F.col("__L"), lambda l: l["id"] < F.col("id")),
-                       lambda l: F.struct(cosine_distance(F.col("__v"), l["__v"], F.col("__n"), l["__n"]).alias("d"),
-                                          l["id"].alias("lid")))
-    return df.join(packed, how="cross").withColumn("__best", F.array_min(cand)).drop("__L")
-
-
-def semantic_cache_fill(requests: DataFrame, max_distance: float, id_col: str = "id",
-                        vec_col: str = "embedding", window: int = WINDOW) -> DataFrame:
-    """Output ``id, hit, source_id, distance``: ``source_id`` is the request
-    whose answer is served (itself for a miss)."""
-    spark = requests.sparkSession
-    shared_dir(spark)
-    base = (requests.select(F.col(id_col).alias("id"), to_double(F.col(vec_col)).alias("__v"))
-                    .withColumn("__n", norm(F.col("__v"))))
-    status = base.withColumn("state", F.lit("U")).checkpoint(eager=True)
-    t = float(max_distance)
-
-    def resolve(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values("id")
-        vecs = np.stack(pdf["__v"].map(np.asarray).to_numpy())
-        nrm = np.linalg.norm(vecs, axis=1)
-        lead_idx, states = [], []
-        for i in range(len(pdf)):
-            hit = False
-            if lead_idx:
-                L = vecs[lead_idx]
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    sim = (L @ vecs[i]) / (nrm[lead_idx] * nrm[i])
-                d = 1.0 - np.nan_to_num(sim, nan=0.0)
-                hit = bool((d < t).any())
-            states.append("H" if hit else "L")
-            if not hit:
-                lead_idx.append(i)
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "state": states})
 
+def semantic_cache_fill(requests: DataFrame, max_distance: float, id_col: str = "id", vec_col: str = "embedding",
+                        window: int = WINDOW, cache: DataFrame | None = None, blank_col: str | None = None) -> DataFrame:
+    """Output ``id, hit, source_id, distance, from_cache``: ``source_id`` is the
+    request (or, with ``from_cache``, the entry of ``cache``: ``ref_id,
+    embedding``) whose answer is served; a miss serves itself."""
+    spark, t = requests.sparkSession, float(max_distance)
+    blank = F.coalesce(F.col(blank_col), F.lit(False)) if blank_col else F.lit(False)
+    base = requests.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), blank.alias("blank"))
+    none = [F.lit(None).cast("double").alias("best"), F.lit(None).cast("long").alias("source"), F.lit(False).alias("cached")]
+    if cache is not None:
+        near = nearest(base, cache, 1, q_vec="vec", keep=("id",), round_digits=None).select(
+            F.col("id").alias("__id"), "distance", F.col("ref_id").cast("long").alias("__ref"))
+        base = base.join(near, base["id"] == near["__id"], "left").select(
+            "id", "vec", "blank", F.col("distance").alias("best"), F.col("__ref").alias("source"), F.col("__ref").isNotNull().alias("cached"))
+    else:
+        base = base.select("*", *none)
+    todo, done = _written(base), []
     while True:
-        undecided = status.filter(F.col("state") == "U")
-        if undecided.isEmpty():
+        open_rows = todo.where(F.col("best").isNull() | (F.col("best") >= t))
+        win = _written(open_rows.orderBy("id").limit(window).coalesce(1))
+        last = win.agg(F.max("id")).first()[0]
+        if last is None:
+            done.append(todo)
             break
-        leaders = status.filter(F.col("state") == "L").select("id", "__v", "__n")
-        if not _fits(leaders.withColumnRenamed("__v", "v"), "v", PACK_MAX_BYTES)[0]:
-            raise RuntimeError("leader set exceeds the pack budget; raise PACK_MAX_BYTES")
-        probed = _earlier_leader_dist(undecided, leaders)
-        hits = probed.filter(F.col("__best.d") < t).select("id", F.lit("H").alias("__s"))
-        rest = probed.filter(F.col("__best").isNull() | (F.col("__best.d") >= t)).select("id", "__v", "__n")
-        win = rest.orderBy("id").limit(window)
-        decided = win.coalesce(1).mapInPandas(resolve, "id long, state string").withColumnRenamed("state", "__s")
-        upd = hits.unionByName(decided)
-        status = (status.join(upd, "id", "left")
-                        .withColumn("state", F.coalesce(F.col("__s"), F.col("state"))).drop("__s")
-                        .checkpoint(eager=True))
-    leaders = status.filter(F.col("state") == "L").select("id", "__v", "__n")
-    final = _earlier_leader_dist(status, leaders)
-    hit = F.col("state") == "H"
-    return final.select(
+        leaders = win.select("id", "vec", "blank").coalesce(1).mapInArrow(_resolve(t), "id long, vec array<double>").toArrow()
+        if leaders.num_rows:
+            shared = spark.sparkContext.broadcast((leaders["id"].to_numpy(), matrix(leaders["vec"])))
+            todo = _written(todo.mapInArrow(_score(shared), _STATE))
+        done.append(todo.where(F.col("id") <= last))
+        todo = todo.where(F.col("id") > last)
+    rows = reduce(DataFrame.unionByName, done)
+    hit = F.coalesce(F.col("best") < t, F.lit(False))
+    return rows.select(
         F.col("id").alias(id_col), hit.alias("hit"),
-        F.when(hit, F.col("__best.lid")).otherwise(F.col("id")).alias("source_id"),
-        F.when(hit, F.round(F.col("__best.d"), 9)).otherwise(F.lit(0.0)).alias("distance"))
+        F.when(hit, F.col("source")).otherwise(F.col("id")).alias("source_id"),
+        F.when(hit, F.round("best", 9)).otherwise(F.lit(0.0)).alias("distance"),
+        (hit & F.col("cached")).alias("from_cache"))

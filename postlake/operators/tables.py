@@ -7,7 +7,7 @@ of all rows costs one partial row per map task, not a sort of the hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.operators.ranking import global_rank, newest_n
@@ -21,7 +21,9 @@ def latest_per_key(df: DataFrame, key: list[str], order_col: str, newest: bool =
     """Upsert semantics (last write wins) or first occurrence (``newest=False``)."""
     other = [c for c in df.columns if c not in key]
     agg = F.max_by if newest else F.min_by
-    packed = agg(F.struct(*other), F.col(order_col)).alias("__r")
+    # rows without an order value lose to all others but are not skipped
+    order = F.struct((F.col(order_col).isNotNull() if newest else F.col(order_col).isNull()).alias("k"), F.col(order_col).alias("o"))
+    packed = agg(F.struct(*other), order).alias("__r")
     return df.groupBy(*key).agg(packed).select(*key, *[F.col(f"__r.{c}").alias(c) for c in other])
 
 
@@ -35,10 +37,13 @@ def dedup_exact(df: DataFrame, key: list[str], order_col: str) -> DataFrame:
     return latest_per_key(df, key, order_col, newest=False)
 
 
-def update_field(table: DataFrame, updates: DataFrame, key: str, field: str) -> DataFrame:
+def update_field(table: DataFrame, updates: DataFrame, key: str, field: str, order_col: str | None = None) -> DataFrame:
     """Replace one column for keys present in ``updates`` (others keep
-    their value; unknown keys in ``updates`` are ignored)."""
-    u = updates.select(key, F.col(field).alias("__new"))
+    their value; unknown keys in ``updates`` are ignored).  Of several updates
+    of a key the last by ``order_col`` wins (else the largest value), so a key
+    stays one row."""
+    u = updates.select(key, F.col(field).alias("__new"), (F.col(order_col) if order_col else F.col(field)).alias("__order"))
+    u = latest_per_key(u, [key], "__order").drop("__order")
     return (table.join(u, key, "left")
                  .withColumn(field, F.coalesce(F.col("__new"), F.col(field)))
                  .drop("__new").select(*table.columns))
@@ -68,7 +73,6 @@ def search_posts(posts: DataFrame, term: str, as_of_us: Column, hours: int = SEA
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
-    """Rows per page and the running total (one row per page)."""
-    per = pages.groupBy("page_no").agg(F.count(F.lit(1)).alias("fetched"))
-    w = Window.orderBy("page_no").rowsBetween(Window.unboundedPreceding, 0)
-    return per.withColumn("running_total", F.sum("fetched").over(w))
+    """Rows per page and the running total (one row per page).  Positions
+    count from 1 without gaps, so a page's last position is the running total."""
+    return pages.groupBy("page_no").agg(F.count(F.lit(1)).alias("fetched"), F.max("position").alias("running_total"))

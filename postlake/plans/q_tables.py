@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from postlake.functions import text as tx
 from postlake.operators import filters, tables, topk
 from postlake.plans.registry import register
-from postlake.plans.sql import EVENT_TOPICS, POSTS, with_
-from postlake.sources.tables import POST_EPOCH_US, event_topics, posts, read_table
+from postlake.plans.sql import EVENT_TOPICS, NOT_BLANK_SQL, POSTS, with_
+from postlake.sources.tables import POST_EPOCH_US, event_topics, posts, read_table, stored_time_range
 
 _JTRIM = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
@@ -23,7 +23,7 @@ SEARCH_TERM = "that"
 
 @register("content_filter", sql=with_(POSTS) + """
 SELECT doc_id, uri FROM posts
-WHERE text IS NOT NULL AND regexp_matches(text, '\\S') AND operation IS DISTINCT FROM 'delete'""")
+WHERE text IS NOT NULL AND regexp_matches(text, '""" + NOT_BLANK_SQL + """') AND operation IS DISTINCT FROM 'delete'""")
 def q_content_filter(spark, sf_dir):
     return filters.content_filter(posts(spark, sf_dir)).select("doc_id", "uri")
 
@@ -37,7 +37,8 @@ def q_lang_filter(spark, sf_dir):
 @register("time_range", sql=with_(POSTS) + f"""
 SELECT doc_id, time_us FROM posts WHERE time_us >= {RANGE_START_US} AND time_us < {RANGE_END_US}""")
 def q_time_range(spark, sf_dir):
-    return filters.time_range(posts(spark, sf_dir), RANGE_START_US, RANGE_END_US).select("doc_id", "time_us")
+    stored = posts(spark, sf_dir).filter(stored_time_range(RANGE_START_US, RANGE_END_US))
+    return filters.time_range(stored, RANGE_START_US, RANGE_END_US).select("doc_id", "time_us")
 
 
 @register("dedup_exact", sql="""
@@ -85,7 +86,7 @@ def q_capped_stream(spark, sf_dir):
 
 @register("batch_metrics", sql=with_(POSTS) + """
 SELECT CAST(time_us // 3600000000 AS BIGINT) AS batch, count(*) AS processed,
-       count(*) FILTER (WHERE text IS NOT NULL AND regexp_matches(text, '\\S')
+       count(*) FILTER (WHERE text IS NOT NULL AND regexp_matches(text, '""" + NOT_BLANK_SQL + """')
                         AND operation IS DISTINCT FROM 'delete') AS stored
 FROM posts GROUP BY 1""")
 def q_batch_metrics(spark, sf_dir):

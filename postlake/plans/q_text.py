@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from postlake.functions import text as tx
 from postlake.operators.topk import hour_key
 from postlake.plans.registry import register
-from postlake.plans.sql import REQUESTS, with_
+from postlake.plans.sql import JTRIM, REQUESTS, chunk_cte, with_
 from postlake.sources.tables import read_table, user_requests
 
-_JTRIM = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+_JTRIM = JTRIM
+BOT_HANDLE = "@assistant.example"  # fixture value
 _CLAUSES = ("list_filter(list_transform(regexp_split_to_array(text, '[!?,.:;()\"\\[\\]{{}}]+'), "
             "lambda x: " + _JTRIM.format(x="x") + "), lambda x: x <> '')")
 
@@ -24,20 +25,8 @@ def q_split_clauses(spark, sf_dir):
     return r.select("request_id", F.posexplode(tx.split_clauses(F.col("text"))).alias("clause_no", "clause"))
 
 
-_CHUNKS = """list_reduce(
-    string_split_regex(regexp_replace(text, '\\s+$', ''), '\\s+'),
-    lambda acc, w: CASE WHEN length(acc.cur) + length(w) + 1 > 300
-      THEN {'chunks': list_append(acc.chunks, """ + _JTRIM.format(x="acc.cur") + """), 'cur': w || ' '}
-      ELSE {'chunks': acc.chunks, 'cur': acc.cur || w || ' '} END,
-    {'chunks': []::VARCHAR[], 'cur': ''})"""
-
-
-@register("chunk_text", sql=f"""
-WITH st AS (SELECT doc_id, {_CHUNKS} AS s FROM documents WHERE NOT regexp_matches(text, '^\\s+$')),
-ch AS (SELECT doc_id, CASE WHEN length(s.cur) > 0 THEN list_append(s.chunks, {_JTRIM.format(x='s.cur')})
-                           ELSE s.chunks END AS chunks FROM st)
-SELECT doc_id, i - 1 AS chunk_no, chunks[i] AS chunk
-FROM (SELECT doc_id, chunks, generate_subscripts(chunks, 1) AS i FROM ch)""")
+@register("chunk_text", sql=f"""WITH {chunk_cte("documents", "doc_id")}
+SELECT doc_id, chunk_no, chunk FROM chunk_rows""")
 def q_chunk_text(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
     return d.select("doc_id", F.posexplode(tx.chunk_text(F.col("text"), tx.REPLY_MAX_CHARS))
@@ -57,12 +46,12 @@ def q_parse_topics(spark, sf_dir):
 
 
 @register("strip_mention", sql=with_(REQUESTS) + f"""
-SELECT request_id, {_JTRIM.format(x="replace('@devbubble.bsky.social ' || text, '@devbubble.bsky.social', '')")} AS cleaned
+SELECT request_id, {_JTRIM.format(x="replace('@assistant.example ' || text, '@assistant.example', '')")} AS cleaned
 FROM requests""")
 def q_strip_mention(spark, sf_dir):
     r = user_requests(spark, sf_dir)
-    mention = F.concat(F.lit(tx.BOT_HANDLE + " "), F.col("text"))
-    return r.select("request_id", tx.strip_mention(mention).alias("cleaned"))
+    mention = F.concat(F.lit(BOT_HANDLE + " "), F.col("text"))
+    return r.select("request_id", tx.strip_mention(mention, BOT_HANDLE).alias("cleaned"))
 
 
 @register("format_reply", sql=with_(REQUESTS) + """

@@ -30,5 +30,24 @@ REQUESTS = """requests AS (
   FROM conversations WHERE role = 'user')"""
 
 
+#: A character that Java's isBlank rejects, as a RE2 class.
+NOT_BLANK_SQL = "[^\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{1680}\\x{2000}-\\x{2006}\\x{2008}-\\x{200A}\\x{2028}\\x{2029}\\x{205F}\\x{3000}]"
+JTRIM = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+#: Length in UTF-16 units.
+_U16 = "(length({x}) + length(regexp_replace({x}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
+
+
+def chunk_cte(source: str, key: str, max_len: int = 300) -> str:
+    """Greedy word packing of ``source.text``: ``chunk_rows(key, chunk_no, chunk)``."""
+    fold = f"""list_reduce(string_split_regex(regexp_replace(text, '\\s+$', ''), '\\s+'),
+    lambda acc, w: CASE WHEN acc.n + {_U16.format(x='w')} + 1 > {max_len}
+      THEN {{'chunks': list_append(acc.chunks, {JTRIM.format(x='acc.cur')}), 'cur': w || ' ', 'n': {_U16.format(x='w')} + 1}}
+      ELSE {{'chunks': acc.chunks, 'cur': acc.cur || w || ' ', 'n': acc.n + {_U16.format(x='w')} + 1}} END,
+    {{'chunks': []::VARCHAR[], 'cur': '', 'n': 0}})"""
+    return f"""chunk_fold AS (SELECT {key}, {fold} AS s FROM {source} WHERE NOT regexp_matches(text, '^\\s+$')),
+chunk_lists AS (SELECT {key}, CASE WHEN length(s.cur) > 0 THEN list_append(s.chunks, {JTRIM.format(x='s.cur')}) ELSE s.chunks END AS chunks FROM chunk_fold),
+chunk_rows AS (SELECT {key}, i - 1 AS chunk_no, chunks[i] AS chunk FROM (SELECT {key}, chunks, generate_subscripts(chunks, 1) AS i FROM chunk_lists))"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

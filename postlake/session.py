@@ -2,13 +2,13 @@
 
 On a cluster the session is created by the platform; ``get_session`` only
 builds a local one for tests and the bench.  ``shared_dir`` returns the
-shared folder used to cut lineage (``spark.checkpoint.dir``); a private
-folder is created only when the session has none configured (tests).
+shared folder used to cut lineage (``spark.checkpoint.dir``); only a local
+session without one gets a private folder (tests).
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -47,14 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream checkpoints and written tables.
 
     Uses ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
-    context).  Only when neither is set (local tests) a private folder is
-    created and registered as the checkpoint dir.
+    context).  When neither is set, a single-process local session gets a
+    private folder; on a cluster this fails, since executors could not see it.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="postlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -63,9 +63,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder (never reused)."""
-    base = shared_dir(spark)
-    p = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if p.startswith("/") or p.startswith("file:"):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
-    return p
+    """A fresh, unique path in the shared folder (Spark's writers create it)."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -97,11 +97,20 @@ def raw_event_json(posts: DataFrame) -> DataFrame:
     return posts.select(n.alias("seq"), F.to_json(event).alias("value"))
 
 
+# A new object: StructType.add would change the shared schema in place.
+_PARSED_SCHEMA = T.StructType([*RAW_EVENT_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+
+
+def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good events, quarantined raw rows) of ``parse_events``."""
+    bad = F.col("event").isNull() | F.col("event._corrupt_record").isNotNull()
+    return parsed.where(~bad), parsed.where(bad)
+
+
 def parse_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text -> typed nested event.  Unknown fields are ignored;
     malformed text keeps ``event`` null and the text in ``_corrupt_record``."""
-    schema = RAW_EVENT_SCHEMA.add("_corrupt_record", T.StringType())
-    parsed = F.from_json(F.col(value_col), schema,
+    parsed = F.from_json(F.col(value_col), _PARSED_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return raw.withColumn("event", parsed)
 

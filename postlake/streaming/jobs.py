@@ -1,18 +1,20 @@
 """Streaming jobs.
 
-* Sources: a file stream over Parquet (or Kafka in production); a consumer
-  group is one streaming query with its own ``checkpointLocation`` (the
-  cursor); the commit log is the acknowledgement.  ``maxFilesPerTrigger`` /
-  ``maxOffsetsPerTrigger`` bound a read like the reference's ``count``.
+* Sources: a file stream over a folder of Parquet files (or Kafka in
+  production); a consumer group is one streaming query with its own
+  ``checkpointLocation`` (the cursor); the commit log is the acknowledgement.
+  ``max_files`` bounds a read like the reference's ``count``.
 * Sinks are ``foreachBatch`` writers keyed by ``batch_id``: a replayed batch
   rewrites the same ``batch_id=<n>`` folder (overwrite), so output is
   idempotent and the stream is exactly-once end to end.
 * Keyed tables are append-only update logs; readers take the newest version
   per key (``latest``), so no in-place merge is needed.
-* Event time: ``ts`` is wall-clock TIMESTAMP_NTZ; it is cast to a session
-  timestamp (UTC) for ``withWatermark`` and back on output.  Late rows
-  beyond the watermark are dropped by Spark and counted in the progress
-  (``numRowsDroppedByWatermark``), which callers can assert to be 0.
+* Late data: ``log_counts`` writes each batch's own counts, which add up
+  whatever order events arrive in.  Rows older than the newest event of the
+  earlier batches by more than the allowed lateness still count and are also
+  written to a side table, so lateness is visible.
+* Triggers: ``run`` drains what is there (``availableNow``), or works at a
+  fixed interval (``every`` seconds) until the input is used up.
 """
 
 from __future__ import annotations
@@ -22,16 +24,27 @@ from pyspark.sql import functions as F
 
 from postlake.session import scratch_path
 
-WATERMARK = "1 hour"
+ALLOWED_LATENESS = "1 hour"
 
 
-def file_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int | None = None) -> DataFrame:
-    """Stream the Parquet files of one driver table (read from the start)."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("basePath", sf_dir)
+def arriving_files(df: DataFrame, order_col: str, files: int = 4, newest_first: bool = False) -> str:
+    """Writes ``df`` as ``files`` files in ranges of ``order_col``, one after
+    the other: the arrival order of a stream over the folder returned."""
+    spark, base = df.sparkSession, scratch_path(df.sparkSession, "arriving")
+    ranged = df.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+    ranged.withColumn("__part", F.spark_partition_id()).write.parquet(base + "/ranged")
+    parts = spark.read.parquet(base + "/ranged")
+    for p in sorted(range(files), reverse=newest_first):
+        parts.where(F.col("__part") == p).drop("__part").coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(base + "/in")
+    return base + "/in"
+
+
+def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream the Parquet files of a folder, oldest first, from the start."""
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(f"{sf_dir}/{table}*.parquet")
+    return r.parquet(path)
 
 
 def batch_writer(path: str, mode: str = "overwrite", transform=None):
@@ -42,20 +55,39 @@ def batch_writer(path: str, mode: str = "overwrite", transform=None):
     return write
 
 
-def run_available(query_builder, checkpoint: str):
-    """Start ``query_builder(writer)`` with ``availableNow`` and wait."""
-    q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
+def run(query_builder, checkpoint: str, every: float | None = None) -> None:
+    """Start ``query_builder`` (a DataStreamWriter) and wait until the input is
+    used up: with ``availableNow``, or every ``every`` seconds."""
+    writer = query_builder.option("checkpointLocation", checkpoint)
+    if every is None:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return
+    q = writer.trigger(processingTime=f"{every} seconds").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
 
+def earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What batches before ``batch_id`` wrote below ``path``; None for the
+    first.  Errors of reading it are raised."""
+    return spark.read.parquet(path).where(F.col("batch_id") < batch_id) if batch_id else None
 
-def dropped_by_watermark(q) -> int:
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            total += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
-                      else op.numRowsDroppedByWatermark)
-    return total
+
+def log_counts(path: str, counts, ts_col: str, lateness: str = ALLOWED_LATENESS):
+    """foreachBatch sink for additive counts: ``path/counts`` gets
+    ``counts(batch)``, ``path/late`` the batch's late rows and ``path/seen``
+    its newest event time."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        seen = earlier(df.sparkSession, f"{path}/seen", batch_id)
+        newest = seen.agg(F.max("newest")).first()[0] if seen is not None else None
+        late = F.lit(False) if newest is None else F.col(ts_col) < F.lit(newest) - F.expr(f"INTERVAL {lateness}")
+        for name, out in (("counts", counts(df)), ("late", df.where(late)), ("seen", df.agg(F.max(ts_col).alias("newest")))):
+            out.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+        df.unpersist()
+    return write
 
 
 def latest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:

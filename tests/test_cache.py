@@ -33,3 +33,15 @@ def test_cache_fill_equals_sequential_loop(spark):
         got = {r.id: (r.hit, r.source_id) for r in semantic_cache_fill(e, t, window=win).collect()}
         assert got == want
         assert any(h for h, _ in got.values())
+
+
+def test_initial_cache_and_blank_answers(spark):
+    v = {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [0.7, 0.7]}
+    req = spark.createDataFrame([(1, v["a"], False), (2, v["b"], True), (3, v["b"], False), (4, v["b"], False), (5, v["a"], False), (6, None, False)],
+                                "id long, embedding array<float>, blank boolean")
+    cache = spark.createDataFrame([(100, v["a"])], "ref_id long, embedding array<float>")
+    for window in (1, 100):
+        got = {r.id: (r.hit, r.source_id, r.from_cache) for r in
+               semantic_cache_fill(req, 0.2, cache=cache, blank_col="blank", window=window).collect()}
+        assert got == {1: (True, 100, True), 2: (False, 2, False), 3: (False, 3, False), 4: (True, 3, False), 5: (True, 100, True), 6: (False, 6, False)}
+    assert semantic_cache_fill(req.limit(0), 0.2).count() == 0

@@ -38,6 +38,18 @@ def test_parse_and_flatten(spark):
     assert flat[3].uri == "" and flat[3].operation == "" and flat[3].rkey == ""
 
 
+def test_quarantine_works_every_time(spark):
+    for _ in range(3):
+        good, bad = ev.split_quarantine(ev.parse_events(_raw(spark, [POST, DELETE], [(9, "{not json"), (10, None)])))
+        assert sorted(r.seq for r in bad.collect()) == [9, 10] and sorted(r.seq for r in good.collect()) == [0, 1]
+
+
+def test_examples_keep_blank_ones(spark):
+    from postlake.sources.refs import json_examples
+    df = spark.createDataFrame([(1, json.dumps(["a", " ", ""]))], "id int, json string")
+    assert [r.text for r in json_examples(df, "id", "json").orderBy("example_no").collect()] == ["a", " ", ""]
+
+
 def test_collection_scan(spark):
     like = dict(POST, commit=dict(POST["commit"], collection="app.bsky.feed.like"))
     parsed = ev.parse_events(_raw(spark, [POST, like]))

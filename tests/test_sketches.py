@@ -1,6 +1,7 @@
 """Property tests for the sketches and the per-batch Bloom semantics."""
 
 import hashlib
+import math
 
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def test_bloom_dedup_equals_sequential_filter(spark):
     df = spark.createDataFrame(rows, "item string, batch int, ord int")
     cap, err = 20, 0.2
     got = {(r.item, r.batch): r.accepted for r in sk.bloom_dedup(df, "item", "batch", "ord", cap, err).collect()}
-    m, k = sk.bloom_size(cap, err)
+    grown = df.select(F.approx_count_distinct("item", 0.02)).first()[0]
+    m, k = sk.bloom_size(max(cap, math.ceil(1.1 * grown)), err)
     bits, want = set(), {}
     for b in sorted({r[1] for r in rows}):
         batch_items = sorted({r[0] for r in rows if r[1] == b})
@@ -44,6 +46,13 @@ def test_bloom_dedup_equals_sequential_filter(spark):
             acc[it] = b
 
 
+def test_bloom_grows_with_the_data(spark):
+    """Ten times the first capacity: new items are still accepted."""
+    rows = spark.range(20_000).selectExpr("cast(id AS string) AS item", "cast(id div 2000 AS int) AS batch", "id AS ord")
+    out = sk.bloom_dedup(rows, "item", "batch", "ord", capacity=2_000, error=0.01)
+    assert out.where("not accepted").count() <= 0.02 * 20_000
+
+
 def test_count_min_never_underestimates(spark):
     t = event_topics(spark, SF001).select(hour_of(F.col("ts")).alias("hour"), "topic")
     exact = {(r.hour, r.topic): r.c for r in t.groupBy("hour", "topic").agg(F.count("*").alias("c")).collect()}
@@ -57,9 +66,10 @@ def test_count_min_never_underestimates(spark):
 
 def test_approx_topk_exact_when_small(spark):
     t = event_topics(spark, SF001).select(hour_of(F.col("ts")).alias("hour"), "topic")
-    approx = sk.approx_topk(t, ["hour"], "topic", k=5, max_items=10000)
-    got = sorted((r.hour, r["rank"], r.item_count) for r in approx.collect())
+    parts = t.withColumn("part", F.pmod(F.hash("topic"), F.lit(3)))
+    approx = sk.approx_topk(sk.approx_topk_state(parts, ["hour", "part"], "topic"), ["hour"], "topic", k=5)
+    got = sorted((r.hour, r["rank"], r.topic, r.item_count) for r in approx.collect())
     from postlake.operators.topk import hourly_topk
     ex = hourly_topk(event_topics(spark, SF001), k=5)
-    want = sorted((r.hour, r["rank"], r.topic_count) for r in ex.collect())
+    want = sorted((r.hour, r["rank"], r.topic, r.topic_count) for r in ex.collect())
     assert got == want

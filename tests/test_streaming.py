@@ -21,6 +21,50 @@ def test_stream_dedup_equals_batch(spark):
     assert _rows(s) == _rows(b)
 
 
+def test_late_rows_count_and_are_written_out(spark):
+    from postlake.plans.q_streaming import stream_topk_log
+    from postlake.sources.tables import read_table
+    events = read_table(spark, SF001, "events")
+    late = stream_topk_log(spark, events, newest_first=True)
+    in_order = stream_topk_log(spark, events, newest_first=False)
+    total = lambda p: spark.read.parquet(p + "/counts").agg({"topic_count": "sum"}).first()[0]
+    assert total(late) == total(in_order) == 2 * events.count()
+    assert spark.read.parquet(late + "/counts").select("batch_id").distinct().count() == 4
+    assert spark.read.parquet(late + "/late").count() > events.count() // 2 and spark.read.parquet(in_order + "/late").count() == 0
+
+
+def test_restart_between_batches(spark):
+    """A stopped stream goes on behind its last batch and counts nothing twice."""
+    from postlake.sources.tables import read_table
+    from postlake.streaming import jobs
+    events = read_table(spark, SF001, "events").select("event_id", "ts")
+    path, out = jobs.arriving_files(events, "event_id"), jobs.new_dir(spark, "restart")
+    write = lambda: jobs.file_stream(spark, path, max_files=1).writeStream.foreachBatch(jobs.batch_writer(out + "/rows"))
+    q = write().option("checkpointLocation", out + "/ck").trigger(processingTime="0 seconds").start()
+    while q.lastProgress is None or q.lastProgress["batchId"] < 1:
+        q.awaitTermination(0.05)
+    q.stop()
+    jobs.run(write(), out + "/ck", every=0.1)
+    jobs.run(write(), out + "/ck")
+    rows = spark.read.parquet(out + "/rows")
+    assert rows.count() == rows.select("event_id").distinct().count() == events.count()
+    assert rows.select("batch_id").distinct().count() == 4
+
+
+def test_entry_ids_grow_over_batches(spark):
+    from postlake.plans.q_streaming import _documents, append_posts
+    rows = sorted((r.batch_id, r.seq, r.doc_id) for r in append_posts(spark, _documents(spark, SF001, 3)).collect())
+    assert [d for *_, d in rows] == sorted(d for *_, d in rows) and len({b for b, *_ in rows}) == 3
+
+
+def test_vocabulary_gets_each_topic_once(spark):
+    from postlake.plans.q_streaming import stream_enrich
+    base = stream_enrich(spark, SF001)
+    words = [r.topic for r in spark.read.parquet(base + "/vocabulary").collect()]
+    counted = {r.topic for r in spark.read.parquet(base + "/counts").collect()}
+    assert sorted(words) == sorted(set(words)) and set(words) == counted
+
+
 def test_consumer_groups_independent_and_idempotent(spark):
     import __spark_entry__ as E
     rows = {(r.grp, r.run): r.n for r in E.queries()["consume_group"](spark, SF001).collect()}

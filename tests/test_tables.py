@@ -1,5 +1,6 @@
 """Keyed-table operators and the scalable ordering helpers vs brute force."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,58 @@ def test_update_field(spark):
     assert got == [(1, ["x"]), (2, ["z"])]
 
 
+def test_update_field_takes_the_last_update(spark):
+    t = spark.createDataFrame([(1, "x")], "id int, v string")
+    u = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (1, "c", None)], "id int, v string, at int")
+    assert [tuple(r) for r in tables.update_field(t, u, "id", "v", "at").collect()] == [(1, "a")]
+
+
+def test_null_order_value_keeps_the_row(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "k int, v int, s string")
+    for newest in (True, False):
+        assert sorted(map(tuple, tables.latest_per_key(df, ["k"], "v", newest).collect()), key=str) == [(1, None, "a"), (2, 5, "c")]
+
+
+def test_page_totals_without_window(spark):
+    pages = spark.range(1, 251).selectExpr("id AS position", "cast((id - 1) div 100 AS bigint) AS page_no")
+    out = tables.page_totals(pages)
+    assert sorted(map(tuple, out.collect())) == [(0, 100, 100), (1, 100, 200), (2, 50, 250)]
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_evictions_in_one_pass(spark):
+    from postlake.sources.tables import event_topics
+    plan = topk.topk_evictions(event_topics(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_time_range_reaches_the_scan(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["time_range"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id" in plan
+
+
+def test_guarded_load_keeps_unreadable_tables(spark, tmp_path):
+    from postlake.sources import refs
+    rows = spark.createDataFrame([(1, "a")], "id int, text string")
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        refs.load_once(spark, rows, str(bad))
+    assert (bad / "part-0.parquet").read_text() == "not parquet"
+    assert refs.load_once(spark, rows, str(tmp_path / "new")) and not refs.load_once(spark, rows, str(tmp_path / "new"))
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from postlake import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://h:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(fake)
+
+
 def test_topk_ties_break_by_topic(spark):
     rows = [("2024-01-01 00:10:00", t) for t in ["b", "a", "c", "a", "b"]]
     df = spark.createDataFrame(rows, "ts string, topic string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

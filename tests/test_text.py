@@ -46,6 +46,19 @@ def test_chunk_text_matches_loop(spark):
     assert got == [_chunk_py(t, 30) for t in texts]
 
 
+def test_chunk_text_counts_utf16_units(spark):
+    assert one(spark, tx.chunk_text(F.col("s"), 13), "😀😀😀😀😀😀 ab") == ["😀" * 6, "ab"]
+    assert one(spark, tx.chunk_text(F.col("s"), 13), None) is None
+    assert one(spark, tx.chunk_text(F.col("s"), 13), "") == [""] and one(spark, tx.chunk_text(F.col("s"), 13), " \n") == []
+
+
+def test_chunk_text_is_linear():
+    import time
+    began = time.time()
+    assert len(tx.pack_words("word " * 80_000, 300)) == 1334
+    assert time.time() - began < 1
+
+
 def test_parse_topics(spark):
     assert one(spark, tx.parse_topics(F.col("s")), '"LangChain, OpenAI, Prompt Engineering, AI Tooling"') == [
         "LangChain", "OpenAI", "Prompt Engineering", "AI Tooling"]
@@ -60,7 +73,7 @@ def test_parse_langs_legacy(spark):
 
 
 def test_strip_and_format(spark):
-    assert one(spark, tx.strip_mention(F.col("s")), "@devbubble.bsky.social  what is hot? ") == "what is hot?"
+    assert one(spark, tx.strip_mention(F.col("s"), "@assistant.example"), "@assistant.example  what is hot? ") == "what is hot?"
     assert one(spark, tx.format_reply(F.lit("bob.bsky.social"), F.col("s")), "hi") == "@bob.bsky.social hi"
 
 
@@ -70,6 +83,6 @@ def test_java_trim_control_chars(spark):
 
 def test_content_filter_cases(spark):
     from postlake.operators.filters import content_filter
-    rows = [(1, " ", "create"), (2, "text", "delete"), (3, "text", None), (4, None, "create"), (5, "ok", "create")]
+    rows = [(0, "\u3000\u2003", "create"), (6, "\u00a0", "create"), (1, " ", "create"), (2, "text", "delete"), (3, "text", None), (4, None, "create"), (5, "ok", "create")]
     df = spark.createDataFrame(rows, "id int, text string, operation string")
-    assert sorted(r.id for r in content_filter(df).collect()) == [3, 5]
+    assert sorted(r.id for r in content_filter(df).collect()) == [3, 5, 6]
