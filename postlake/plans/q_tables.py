@@ -127,9 +127,9 @@ def q_page_totals(spark, sf_dir):
 SELECT conv_id, turn, topic, count(*) AS topic_count FROM (
   SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(replace(text, '"', ''), ','),
          lambda x: """ + _JTRIM.format(x="x") + """), lambda x: x <> '')) AS topic
-  FROM conversations WHERE role = 'assistant') GROUP BY 1, 2, 3""")
+  FROM conversations) GROUP BY 1, 2, 3""")
 def q_topic_counts(spark, sf_dir):
-    c = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    c = read_table(spark, sf_dir, "conversations")
     t = c.select("conv_id", "turn", tx.parse_topics(F.col("text")).alias("topics"))
     t = t.select(F.struct("conv_id", "turn").alias("id"), "topics")
     out = topk.topic_counts(t, "id", "topics")

@@ -39,9 +39,9 @@ SELECT conv_id, turn, i - 1 AS topic_no, t[i] AS topic FROM (
     SELECT conv_id, turn,
            list_filter(list_transform(string_split(replace(text, '"', ''), ','), lambda x: """
     + _JTRIM.format(x="x") + """), lambda x: x <> '') AS t
-    FROM conversations WHERE role = 'assistant'))""")
+    FROM conversations))""")
 def q_parse_topics(spark, sf_dir):
-    c = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    c = read_table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", F.posexplode(tx.parse_topics(F.col("text"))).alias("topic_no", "topic"))
 
 
