@@ -14,7 +14,8 @@ the whole sequence).  Two are linked if their Jaccard similarity is at least
    region the nearest rows are those of the longest common prefix, so the depth
    adapts to the region.  Pairs whose 48 one-byte fingerprints agree in fewer
    than ``MIN_AGREE`` places are dropped (a link is missed by that with
-   probability below 1e-6).  Rows at the ends of two ranges meet in a second
+   probability below 1e-6).  Of the pairs within a chain of close rows
+   only the chain is kept.  Rows at the ends of two ranges meet in a second
    small pass.
 3. Candidate pairs only say which documents must be looked at together: their
    connected components (min-label rounds with pointer jumping, on id pairs)
@@ -121,13 +122,23 @@ def forest_rows(reps: DataFrame) -> DataFrame:
 
 
 def _near(tree, path, node, mark, first: int) -> Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs (later row from ``first`` on, earlier row) within reach."""
-    n = len(node)
+    """Pairs (later row from ``first`` on, earlier row) within reach.
+
+    Rows that follow each other closely form chains; farther pairs of one
+    chain would connect nothing new and are left out."""
+    n, chain = len(node), None
     for k in range(1, min(NEIGHBOURS, n - 1) + 1):
-        at = np.arange(max(first, k), n)
-        at = at[(tree[at] == tree[at - k]) & (path[at, :SHARED] == path[at - k, :SHARED]).all(1) & (node[at] != node[at - k])]
+        at = np.arange(k, n)
+        if chain is not None:
+            at = at[(at >= first) & (chain[at] != chain[at - k])]
+        at = at[(tree[at] == tree[at - k]) & (path[at, :SHARED] == path[at - k, :SHARED]).all(1)]
         agree = (mark[at] == mark[at - k]).sum(1)
-        ok = agree >= MIN_AGREE
+        at, agree = at[agree >= MIN_AGREE], agree[agree >= MIN_AGREE]
+        if chain is None:
+            begins = np.ones(n, bool)
+            begins[at] = False
+            chain = np.cumsum(begins)
+        ok = (at >= first) & (node[at] != node[at - k])
         yield node[at[ok]], node[at[ok] - k], agree[ok]
 
 
