@@ -68,8 +68,9 @@ def canonical(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
     words = (text or "").split()
     if len(_memory) > MEMORY:
         _memory.clear()
-    for w in set(words) - _memory.keys():
-        _memory[w] = _code(w)
+    for w in set(words):
+        if w not in _memory:
+            _memory[w] = _code(w)
     raw = np.fromiter(map(_memory.__getitem__, words), np.uint64, len(words))
     flags = (raw & np.uint64(15)).astype(np.int64)
     begins = np.append(True, flags[:-1] & _END > 0)[:len(words)]
