@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from postlake.llm import bpe, decontaminate, licenses, line_dedup, neardup, pii, quality_rules, secrets, urls, warc
-from postlake.llm.common import map_rows, table
+from postlake.llm.common import ASCII_LOWER, ASCII_UPPER, map_rows, table
 from postlake.session import shared_dir
 
 QUERIES: dict = {}
@@ -107,7 +107,31 @@ def op6(spark, sf_dir):
                     F.col("response.type").alias("record_type"), fields["refers-to-page-id"].cast("long").alias("refers_to"))
 
 
-@query("op7_quality_rules")
+_BLANK = r"[\x20\x09-\x0D]+"
+
+
+@query("op7_quality_rules", rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY 1),
+li AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d))),
+lw AS (SELECT doc_id, line, list_filter(regexp_split_to_array(line, '{_BLANK}'), lambda x: x <> '') AS ws,
+              row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS before FROM li WHERE regexp_matches(line, '[^ 	-]')),
+m AS (SELECT doc_id, before, len(ws) AS n, strlen(array_to_string(ws, '')) AS size, length(line) - length(replace(line, '|', '')) AS bars,
+             len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks,
+             len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS same FROM lw),
+f AS (SELECT *, (bars + 1 >= {quality_rules.MIN_ENTRIES} AND bars >= {quality_rules.MAX_BARS} * (n - bars))
+             OR (marks >= {quality_rules.MAX_MARKS} * n AND n >= 3)
+             OR (n >= {quality_rules.BOILERPLATE_WORDS} AND (before OR 2 * same >= n)) AS bad FROM m),
+s AS (SELECT doc_id, count(*) FILTER (WHERE before) AS dup, count(*) FILTER (WHERE bad) AS removed,
+             coalesce(sum(size) FILTER (WHERE bad), 0) / sum(size) AS share FROM f GROUP BY 1),
+o AS (SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+             coalesce(rep.n, 0) AS n_repeat_words, coalesce(removed, 0) AS n_lines_removed, coalesce(share, 0.0) AS lost_share
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN s USING (doc_id)),
+b AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM o)
+SELECT *, NOT base_failed AND lost_share <= {quality_rules.MAX_LOST} AS kept FROM b""")
 def op7(spark, sf_dir):
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -122,7 +146,15 @@ def op9(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-@query("op10_line_dedup")
+@query("op10_line_dedup", f"""
+WITH l AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, generate_subscripts(l, 1) AS i FROM (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+k AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             '{ASCII_UPPER}', '{ASCII_LOWER}') AS key FROM l),
+h AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+j AS (SELECT k.doc_id, i, line, h.keeper IS NOT NULL AND h.keeper <> k.doc_id AS dropped FROM k LEFT JOIN h USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256 FROM j GROUP BY doc_id""")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs))
@@ -130,6 +162,5 @@ def op10(spark, sf_dir):
     def digest(rows):
         for doc_id, text, keep in rows:
             n, lines = (text or "").count("\n") + 1, line_dedup.kept_lines(text, keep)
-            yield doc_id, n, n - len(lines), hashlib.sha256("\n".join(lines).encode("utf-8", "surrogatepass")).hexdigest(), keep
-    return map_rows(kept.select("doc_id", "text", "_line_keep"), digest,
-                    "doc_id long, n_lines long, n_dropped long, kept_sha256 string, keep_bitmap binary")
+            yield doc_id, n, n - len(lines), hashlib.sha256("\n".join(lines).encode("utf-8", "surrogatepass")).hexdigest()
+    return map_rows(kept.select("doc_id", "text", "_line_keep"), digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
