@@ -83,9 +83,38 @@ def op3(spark, sf_dir):
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-@query("op5_licenses")
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+@query("op5_licenses", rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+ph(phrase, label) AS (VALUES {_values(licenses.PHRASES)}),
+hit AS (SELECT doc_id, i - 1 AS pos, label FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), ph
+        WHERE array_to_string(ws[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM hit GROUP BY 1),
+t(label, phrase, text, t) AS (VALUES {_values((*x, i) for i, x in enumerate(licenses.TEMPLATES))}),
+tw AS (SELECT t, i - 1 AS pos, l[i] AS word FROM (SELECT t, l, generate_subscripts(l, 1) AS i FROM (SELECT t, string_split(text, ' ') AS l FROM t))),
+df AS (SELECT word, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(ws) AS word FROM d) WHERE word IN (SELECT word FROM tw) GROUP BY 1),
+idf AS (SELECT DISTINCT tw.word, ln(((SELECT count(*) FROM d) + 1) / (coalesce(df.n, 0) + 0.5)) AS idf FROM tw LEFT JOIN df USING (word)),
+idx AS (SELECT t, pos, word, idf FROM (SELECT t, pos, word, idf, row_number() OVER (PARTITION BY t ORDER BY idf DESC, pos) AS rk,
+        max(idf) OVER (PARTITION BY t) AS top FROM tw JOIN idf USING (word)) WHERE rk <= {licenses.INDEX_WORDS} AND idf >= {licenses.RARE} * top),
+place AS (SELECT doc_id, i AS place, ws[i] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) WHERE ws[i] IN (SELECT word FROM idx)),
+own AS (SELECT doc_id, word FROM (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY idf DESC, word) AS rk
+        FROM (SELECT DISTINCT doc_id, word FROM place) JOIN idf USING (word)) WHERE rk <= {licenses.TOP_WORDS}),
+line AS (SELECT doc_id, t, sum(idf) AS got FROM (SELECT DISTINCT p.doc_id, x.t, p.place - x.pos AS start, x.pos, x.idf
+         FROM place p JOIN own USING (doc_id, word) JOIN idx x ON x.word = p.word) GROUP BY doc_id, t, start),
+best AS (SELECT doc_id, line.t, max(got / total) AS score FROM line JOIN (SELECT t, sum(idf) AS total FROM idx GROUP BY 1) s ON s.t = line.t GROUP BY 1, 2),
+ok AS (SELECT best.doc_id, list(DISTINCT t.label) AS labels, max(score) AS score FROM best JOIN t USING (t) JOIN d USING (doc_id)
+       WHERE score >= {licenses.MIN_SCORE} AND contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || phrase || ' ') GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(ok.labels, [])))), ','), '') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN 1.0 ELSE 0.0 END, least(1.0, coalesce(ok.score, 0))) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN ok USING (doc_id)""")
 def op5(spark, sf_dir):
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
 @query("op6_warc", """
@@ -117,7 +146,8 @@ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY d
 rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY 1),
 li AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d))),
 lw AS (SELECT doc_id, line, list_filter(regexp_split_to_array(line, '{_BLANK}'), lambda x: x <> '') AS ws,
-              row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS before FROM li WHERE regexp_matches(line, '[^ 	-]')),
+              row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS before FROM li WHERE regexp_matches(line, '[^ 	-
+]')),
 m AS (SELECT doc_id, before, len(ws) AS n, strlen(array_to_string(ws, '')) AS size, length(line) - length(replace(line, '|', '')) AS bars,
              len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks,
              len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS same FROM lw),
