@@ -39,6 +39,8 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 SKETCH_BITS = 20
 TOKEN_BUCKETS = 1 << 16
+#: Cells that travel to the driver together.
+BLOCK = 4096
 MAX_WORD = 20
 #: Labels kept per worker process; beyond, the memory starts anew.
 MEMORY = 100_000
@@ -77,11 +79,20 @@ def page_words(html: str | None) -> list[str]:
 
 
 def _summed(parts: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
-    """Sums (cell, n) rows by cell into an array; at most its size is collected."""
-    out = np.zeros(int(np.prod(shape)), np.float64)
-    got = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return out.reshape(shape)
+    """Sums (cell, n) rows by cell into an array.  Cells are packed into dense
+    blocks first, so the driver gets the array's size, whatever the corpus."""
+    def dense(key, rows):
+        block = np.zeros(BLOCK, np.float32)
+        block[rows["cell"].to_numpy() % BLOCK] = rows["n"].to_numpy()
+        return pa.table({"block": pa.array([key[0].as_py()]), "counts": pa.array([block.tobytes()], pa.binary())})
+
+    sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("block", F.expr(f"cell div {BLOCK}"))
+    got = sums.groupBy("block").applyInArrow(dense, "block long, counts binary").toArrow()
+    size = int(np.prod(shape))
+    out = np.zeros((-(-size // BLOCK), BLOCK))
+    for at, counts in zip(got["block"].to_pylist(), got["counts"].to_pylist(), strict=True):
+        out[at] = np.frombuffer(counts, np.float32)
+    return out.ravel()[:size].reshape(shape)
 
 
 def _counting(count):
