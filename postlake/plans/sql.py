@@ -51,3 +51,17 @@ chunk_rows AS (SELECT {key}, i - 1 AS chunk_no, chunks[i] AS chunk FROM (SELECT
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def fill_cte(source: str, key: str, max_distance: float) -> str:
+    """Sequential cache fill over ``source(key, embedding)``, one request a
+    step: ``fill(key, hit, source_id, distance)``.  Needs WITH RECURSIVE."""
+    return f"""fill_in AS (SELECT row_number() OVER (ORDER BY {key}) AS i, {key}, CAST(embedding AS DOUBLE[]) AS v FROM {source}),
+fill AS (
+  SELECT i, {key}, false AS hit, {key} AS source_id, CAST(0 AS DOUBLE) AS distance, [{{'id': {key}, 'v': v}}] AS leaders FROM fill_in WHERE i = 1
+  UNION ALL
+  SELECT i, {key}, best.d < {max_distance}, CASE WHEN best.d < {max_distance} THEN best.id ELSE {key} END,
+         CASE WHEN best.d < {max_distance} THEN round(best.d, 9) ELSE 0 END,
+         CASE WHEN best.d < {max_distance} THEN leaders ELSE list_append(leaders, {{'id': {key}, 'v': v}}) END
+  FROM (SELECT e.i, e.{key}, e.v, r.leaders, list_min(list_transform(r.leaders,
+          lambda l: {{'d': list_cosine_distance(e.v, l.v), 'id': l.id}})) AS best FROM fill r JOIN fill_in e ON e.i = r.i + 1))"""
