@@ -14,12 +14,12 @@ the whole sequence).  Two are linked if their Jaccard similarity is at least
    region the nearest rows are those of the longest common prefix, so the depth
    adapts to the region.  Pairs whose 48 one-byte fingerprints agree in fewer
    than ``MIN_AGREE`` places are dropped (a link is missed by that with
-   probability below 1e-6).  Of the pairs within a chain of close rows
-   only the chain is kept.  Rows at the ends of two ranges meet in a second
+   probability below 1e-6).  Rows of a chain of close rows are tied
+   to the chain's smallest node.  Rows at the ends of two ranges meet in a second
    small pass.
 3. Candidate pairs only say which documents must be looked at together: their
-   connected components (min-label rounds with pointer jumping, on id pairs)
-   are the candidate groups.  Texts of documents that have a candidate move
+   connected components (contraction with pointer jumping, on id pairs) are
+   the candidate groups.  Texts of documents that have a candidate move
    once, to their group's task, where all members are compared on full sets.
    This makes the cut at ``NEIGHBOURS`` harmless inside a group.
 4. Groups beyond ``GROUP_DOCS`` documents or ``GROUP_SHINGLES`` shingles are
@@ -58,6 +58,8 @@ NEIGHBOURS = 8
 FINGERPRINT, MIN_AGREE = 48, 22
 GROUP_DOCS, GROUP_SHINGLES = 1_000, 2_000_000
 HUBS = 16
+#: Group members whose ids are broadcast to pick their texts (some 50 bytes each).
+BROADCAST_ROWS = 250_000
 
 _ODD = np.random.default_rng(2024).integers(1, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -122,10 +124,12 @@ def forest_rows(reps: DataFrame) -> DataFrame:
 
 
 def _near(tree, path, node, mark, first: int) -> Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs (later row from ``first`` on, earlier row) within reach.
+    """Pairs of nodes within reach, given the sorted rows; rows before
+    ``first`` were seen with the rows before them.
 
-    Rows that follow each other closely form chains; farther pairs of one
-    chain would connect nothing new and are left out."""
+    Rows that follow each other closely form chains.  A chain's rows are tied
+    to its smallest node, which is mostly the same in all orders, and farther
+    pairs only count between chains; nothing else would connect more."""
     n, chain = len(node), None
     for k in range(1, min(NEIGHBOURS, n - 1) + 1):
         at = np.arange(k, n)
@@ -134,12 +138,20 @@ def _near(tree, path, node, mark, first: int) -> Iterable[tuple[np.ndarray, np.n
         at = at[(tree[at] == tree[at - k]) & (path[at, :SHARED] == path[at - k, :SHARED]).all(1)]
         agree = (mark[at] == mark[at - k]).sum(1)
         at, agree = at[agree >= MIN_AGREE], agree[agree >= MIN_AGREE]
-        if chain is None:
-            begins = np.ones(n, bool)
-            begins[at] = False
-            chain = np.cumsum(begins)
-        ok = (at >= first) & (node[at] != node[at - k])
-        yield node[at[ok]], node[at[ok] - k], agree[ok]
+        if chain is not None:
+            ok = node[at] != node[at - k]
+            yield node[at[ok]], node[at[ok] - k], agree[ok]
+            continue
+        begins = np.ones(n, bool)
+        begins[at] = False
+        starts = np.flatnonzero(begins)
+        chain = np.cumsum(begins) - 1
+        low, grown = np.minimum.reduceat(node, starts)[chain], np.maximum.reduceat(np.arange(n), starts)[chain] >= first
+        score = np.zeros(n, np.int64)
+        score[at] = agree
+        score[at - 1] = np.maximum(score[at - 1], agree)
+        ok = grown & (node != low)
+        yield node[ok], low[ok], score[ok]
 
 
 def _neighbour_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,22 +218,34 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, comp): the smallest node each node of ``edges`` (a, b) reaches.
 
-    Min-label rounds: every node takes the smallest label around it (a partial
-    aggregate), then labels jump to their label's label.  Each round is a
-    written table; the driver sees one count per round.
+    Rounds of contraction: every node points to its smallest neighbour or
+    itself (a partial aggregate), pointers jump until they end at roots, and
+    edges between roots are left for the next round, each once.  Every step is
+    a written table; the driver sees row counts up to one.
     """
-    both = written(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a")).where("x != y").distinct(), f"{name}-edges")
-    labels = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("y"))
-                     .select("node", F.least("node", "y").alias("comp")), name)
+    def distinct(x, y, rows):
+        return written(rows.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).where("x != y").distinct(), f"{name}-edges")
+
+    left, labels = distinct(F.col("a"), F.col("b"), edges), None
     while True:
-        around = both.join(labels, both["y"] == labels["node"]).groupBy("x").agg(F.min("comp").alias("best"))
-        low = labels.join(around, labels["node"] == around["x"], "left").select("node", "comp", F.least("comp", "best").alias("low"))
-        to = labels.select(F.col("node").alias("to"), F.col("comp").alias("far"))
-        new = low.join(to, low["low"] == to["to"], "left").select("node", F.least("low", "far").alias("next"), "comp")
-        new = written(new, name)
-        changed = new.where("next < comp").limit(1).count()
-        labels = new.select("node", F.col("next").alias("comp"))
-        if not changed:
+        both = left.union(left.select("y", "x"))
+        to = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("y")).select("node", F.least("node", "y").alias("to")), name)
+        while True:
+            far = to.select(F.col("node").alias("_node"), F.col("to").alias("far"))
+            jumped = written(to.join(far, to["to"] == far["_node"]).select("node", "to", "far"), name)
+            to = jumped.select("node", F.col("far").alias("to"))
+            if not jumped.where("to != far").limit(1).count():
+                break
+        if labels is None:
+            labels = to.withColumnRenamed("to", "comp")
+        else:
+            step = to.withColumnRenamed("node", "_node")
+            labels = written(labels.join(step, labels["comp"] == step["_node"], "left").select("node", F.coalesce("to", "comp").alias("comp")), name)
+        from_x = to.select(F.col("node").alias("_x"), F.col("to").alias("tx"))
+        from_y = to.select(F.col("node").alias("_y"), F.col("to").alias("ty"))
+        moved = left.join(from_x, left["x"] == from_x["_x"]).select("y", "tx")
+        left = distinct(F.col("tx"), F.col("ty"), moved.join(from_y, moved["y"] == from_y["_y"]))
+        if not left.limit(1).count():
             return labels
 
 
@@ -310,18 +334,23 @@ def _compare_across(held) -> list[dict]:
     return [{"a": a, "b": b} for (a, _), b in found.items()]
 
 
-def _with_text(members: DataFrame, docs: DataFrame, *cols: str) -> DataFrame:
-    """``members`` with their texts: each representative's text moves once."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text").dropDuplicates(["_id", "_hash"])
-    return (members.join(texts, (members["node"] == texts["_id"]) & (members["text_hash"] == texts["_hash"]))
-            .select("unit", "node", "text", *cols))
+def _with_text(members: DataFrame, docs: DataFrame, *cols: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``members`` with their texts: each representative's text moves once.
+
+    The members are ids only; up to ``broadcast_rows`` of them (counted) are
+    broadcast and no other text moves, beyond that both sides are shuffled."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    few = members.limit(broadcast_rows + 1).count() <= broadcast_rows
+    found = texts.join(F.broadcast(members) if few else members, (members["node"] == texts["_id"]) & (members["text_hash"] == texts["_hash"]))
+    return found.dropDuplicates(["unit", "node", "text_hash"]).select("unit", "node", "text", *cols)
 
 
 def _run_units(rows: DataFrame, fn, schema: str) -> DataFrame:
     return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_by_group(fn, schema), schema)
 
 
-def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, group_docs: int = GROUP_DOCS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, group_docs: int = GROUP_DOCS, group_shingles: int = GROUP_SHINGLES,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(node, label): smallest representative reached, for nodes with candidates."""
     pairs = written(pairs, "pairs")
     groups = components(pairs, "groups")
@@ -330,16 +359,16 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, group_docs: int =
                     .withColumn("blocks", F.ceil(F.greatest(F.col("n") / group_docs, F.col("w") / group_shingles)).cast("int")), "group-sizes")
     members = written(groups.join(sizes, "comp").join(reps.select("node", "text_hash"), "node"), "members")
     small = members.where("blocks = 1").withColumn("unit", F.col("comp").cast("string"))
-    done = written(_run_units(_with_text(small, docs), _compare, "node long, label long"), "links")
+    done = written(_run_units(_with_text(small, docs, broadcast_rows=broadcast_rows), _compare, "node long, label long"), "links")
     if not sizes.where("blocks > 1").limit(1).count():
         return done
     large = members.where("blocks > 1").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    large = written(_with_text(large.withColumn("unit", F.lit("")), docs, "comp", "block", "blocks").drop("unit"), "large")
+    large = written(_with_text(large.withColumn("unit", F.concat_ws(":", "comp", "block")), docs, "comp", "block", "blocks", broadcast_rows=broadcast_rows).drop("unit"), "large")
     # the most central members: those whose neighbours agree with them most
-    degree = pairs.select(F.col("a").alias("node"), "agree").union(pairs.select("b", "agree")).groupBy("node").agg(F.avg("agree").alias("agree"))
+    degree = pairs.groupBy(F.col("a").alias("node")).agg(F.avg("agree").alias("agree"))
     from pyspark.sql import Window
     order = Window.partitionBy("comp").orderBy(F.desc("agree"), "node")
-    hubs = (large.select("comp", "node").distinct().join(degree, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
+    hubs = (large.select("comp", "node").distinct().join(degree, "node", "left").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
             .select("comp", "node"))
     hub_rows = large.join(hubs, ["comp", "node"], "left_semi").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     unit = F.concat_ws(":", "comp", "block")
@@ -368,14 +397,15 @@ def _labels(edges: DataFrame, name: str) -> DataFrame:
     return alone.join(got, alone["node"] == got["_node"], "left").select("node", F.coalesce("comp", "node").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, group_docs: int = GROUP_DOCS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, group_docs: int = GROUP_DOCS, group_shingles: int = GROUP_SHINGLES,
+                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash) per row of ``docs``."""
     sets = written(document_sets(docs), "sets")
     real = sets.where("doc_id is not null and n_shingles > 0")
     reps = written(real.groupBy("set_hash").agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "sig")).alias("r"))
                    .select("set_hash", F.col("r.doc_id").alias("node"), "r.text_hash", "r.n_shingles", "r.sig"), "reps")
     # sets of one or two shingles are similar to equal sets only
-    found = links(docs, reps, candidate_pairs(reps.where("n_shingles > 2")), group_docs, group_shingles)
+    found = links(docs, reps, candidate_pairs(reps.where("n_shingles > 2")), group_docs, group_shingles, broadcast_rows)
     # a doc_id with several texts ties their sets together
     several = real.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo != hi").limit(1).count()
     label = found.groupBy("node").agg(F.min("label").alias("label"))

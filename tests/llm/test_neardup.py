@@ -62,13 +62,13 @@ def cluster(seed, n):
     return out + [" ".join(rnd.choice(vocab) for _ in range(60)) for _ in range(20)] + out[:10]
 
 
-@pytest.mark.parametrize("limit", [1_000, 40])
-def test_dense_groups_whole_and_in_blocks(spark, frame, limit):
+@pytest.mark.parametrize(("limit", "few"), [(1_000, 10**6), (40, 10**6), (40, 0)])
+def test_dense_groups_whole_and_in_blocks(spark, frame, limit, few):
     texts = cluster(limit, 250)
     random.Random(1).shuffle(texts)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "5")
-    got = result(neardup.near_duplicates(frame(texts), group_docs=limit))
+    got = result(neardup.near_duplicates(frame(texts), group_docs=limit, broadcast_rows=few))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == brute(list(enumerate(texts)))
 
