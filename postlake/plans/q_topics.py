@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from postlake.operators import topk
 from postlake.plans.registry import register
 from postlake.plans.sql import EVENT_TOPICS, with_
-from postlake.sources import event_topics, read_table
+from postlake.sources import event_topics
 
 
 @register("hourly_topk", sql=with_(EVENT_TOPICS) + """
