@@ -45,7 +45,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import map_rows, slices, written
@@ -160,7 +160,7 @@ def _neighbour_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     Pairs have ``edge`` null; end rows carry the number of the border."""
     from pyspark import TaskContext
     p = TaskContext.get().partitionId()
-    last, head, seen = None, 0, 0
+    last, head = None, 0
 
     def ends(rows, border):
         tree, path, node, mark = rows
@@ -183,7 +183,6 @@ def _neighbour_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if len(a):
                 yield _pairs(a, b, agree)
         last = [x[-NEIGHBOURS:] for x in rows]
-        seen += batch.num_rows
     if last is not None:
         yield ends(last, p)
 
@@ -366,7 +365,6 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, group_docs: int =
     large = written(_with_text(large.withColumn("unit", F.concat_ws(":", "comp", "block")), docs, "comp", "block", "blocks", broadcast_rows=broadcast_rows).drop("unit"), "large")
     # the most central members: those whose neighbours agree with them most
     degree = pairs.groupBy(F.col("a").alias("node")).agg(F.avg("agree").alias("agree"))
-    from pyspark.sql import Window
     order = Window.partitionBy("comp").orderBy(F.desc("agree"), "node")
     hubs = (large.select("comp", "node").distinct().join(degree, "node", "left").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
             .select("comp", "node"))
