@@ -2,8 +2,9 @@
 
 Words lose marks at their ends and case; numbers, names (capitalised words
 inside a sentence) and units (unit words after a number) become typed
-placeholders.  Windows of five canonical words, three of them literal at
-least, are the templates' keys.
+placeholders.  Windows of five canonical words, or of as many more as it takes
+to hold three literal ones, are the templates' keys.  Windows of five plain
+words are keys as well, so verbatim copies never depend on placeholders.
 
 1. The benchmark's windows are hashed; a bitmap of fixed size (``BITS``) over
    them is sent to every task.  It can only let too many windows through.
@@ -13,8 +14,11 @@ least, are the templates' keys.
 3. Per document, item and alignment the values behind the placeholders must
    map one to one; windows with a value that maps to two are dropped.  Equal
    windows whose values differ consistently are re-parameterised copies.
+   Windows of equal plain words always stay.
 4. A document is contaminated by an item if it holds at least ``SHARE`` of the
-   item's windows, or ``RUN`` windows in a row (13 words).
+   item's windows with three literal words in five, or ``RUN`` windows of any
+   kind in a row (13 words).  An item without such windows is matched by the
+   share of its plain windows.
 
 Cases: null and short texts (under five words) have no windows and match
 nothing, as items and as documents.  An item's repeated rows count once.  Rows
@@ -50,7 +54,9 @@ _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…
 _DIGIT = re.compile("[0-9]")
 _PLACE = {_NUMBER: np.uint64(0x1111111111111111), _NAME: np.uint64(0x2222222222222222), _UNIT: np.uint64(0x3333333333333333)}
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _memory: dict[str, int] = {}
+_powers = [np.zeros(0, np.uint64)] * 2
 
 
 def _code(word: str) -> int:
@@ -63,8 +69,9 @@ def _code(word: str) -> int:
     return xxhash.xxh64_intdigest(low) & ~15 | flags | _UNIT * (low in UNITS)
 
 
-def canonical(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(words, codes, kind of placeholder or 0) of a text."""
+def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(words, literal codes, readings) of a text.  A reading is (codes, kind of
+    placeholder or 0)."""
     words = (text or "").split()
     if len(_memory) > MEMORY:
         _memory.clear()
@@ -76,26 +83,38 @@ def canonical(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
     begins = np.append(True, flags[:-1] & _END > 0)[:len(words)]
     after_number = np.append(False, flags[:-1] & _NUMBER > 0)[:len(words)]
     kind = np.where(flags & _NUMBER, _NUMBER, np.where((flags & _UNIT > 0) & after_number, _UNIT, np.where((flags & _NAME > 0) & ~begins, _NAME, 0)))
-    codes = raw & ~np.uint64(15)
-    for k, place in _PLACE.items():
-        codes[kind == k] = place
-    return words, codes, kind
-
-
-def windows(codes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, 64-bit hash) of the windows with enough literal words."""
-    n = len(codes) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    for k in range(WINDOW):
-        h = h * _STEP + codes[k:k + n]
-        h ^= h >> np.uint64(31)
-        literal += kind[k:k + n] == 0
-    h *= np.uint64(0xBF58476D1CE4E5B9)
+    plain = raw & ~np.uint64(15)
+    readings = []
+    for k in [kind]:
+        codes = plain.copy()
+        for place, code in _PLACE.items():
+            codes[k == place] = code
+        readings.append((codes, k))
+    return words, plain, readings
+
+
+def _hashes(codes: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the codes in [at, end), from sums of prefixes."""
+    n = len(codes)
+    if len(_powers[0]) < n:
+        _powers[:] = [np.cumprod(np.full(2 * n, x)) for x in (_STEP, _BACK)]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(codes * _powers[0][:n], out=sums[1:])
+    h = (sums[end] - sums[at]) * _powers[1][at]
     h ^= h >> np.uint64(32)
-    at = np.flatnonzero(literal >= LITERALS)
-    return at, h[at]
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(29)
+
+
+def windows(codes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of the template windows: five words, or as many more
+    as it takes to hold enough literal ones."""
+    n = max(0, len(codes) - WINDOW + 1)
+    literal = np.flatnonzero(kind == 0)
+    last = np.searchsorted(literal, np.arange(n)) + LITERALS - 1
+    at = np.flatnonzero(last < len(literal))
+    end = np.maximum(at + WINDOW, literal[last[at]] + 1)
+    return at, end, _hashes(codes, at, end)
 
 
 def _slots(words, kind, at: int) -> list[str]:
@@ -104,21 +123,40 @@ def _slots(words, kind, at: int) -> list[str]:
 
 
 def _window_rows(rows, passed=None):
+    """(*key, start, hash, slots, start counts into the share) of all windows."""
     for *key, text in rows:
-        words, codes, kind = canonical(text)
-        at, h = windows(codes, kind)
-        if passed is not None and len(at):
-            keep = passed(h)
-            at, h = at[keep], h[keep]
-        for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
-            yield *key, i, x, _slots(words, kind, i)
+        words, plain, readings = canonical(text)
+        n = max(0, len(words) - WINDOW + 1)
+        found, enough = [], np.zeros(n, bool)
+        for r, (codes, kind) in enumerate(readings):
+            at, end, h = windows(codes, kind)
+            if r:  # only windows that differ from the first reading's
+                other = np.append(0, np.cumsum(kind != readings[0][1]))
+                new = other[end] > other[at]
+                at, h = at[new], h[new]
+            else:
+                enough[at[end == at + WINDOW]] = True
+            found.append((at, h, kind))
+        if passed is None and not enough.any():  # too few literal words: equal values only
+            found, enough = [], np.ones(n, bool)
+        places = np.append(0, np.cumsum(readings[0][1] > 0))
+        at = np.flatnonzero(places[WINDOW:] > places[:-WINDOW]) if found else np.arange(n)
+        found.append((at, _hashes(plain, at, at + WINDOW), None))
+        for at, h, kind in found:
+            if passed is not None and len(at):
+                keep = passed(h)
+                at, h = at[keep], h[keep]
+            for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
+                yield *key, i, x, [] if kind is None else _slots(words, kind, i), bool(enough[i])
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_at, key, item_slots, n_windows) of all items."""
-    rows = map_rows(benchmark.select("item_id", "text").dropDuplicates(), _window_rows, "item_id long, item_at int, key long, item_slots array<string>")
+    """(item_id, item_at, key, item_slots, counts, n_windows) of all items."""
+    rows = map_rows(benchmark.select("item_id", "text").dropDuplicates(), _window_rows,
+                    "item_id long, item_at int, key long, item_slots array<string>, counts boolean")
     rows = written(rows.dropDuplicates(["item_id", "item_at", "key"]), "item-windows")
-    return rows.join(rows.groupBy("item_id").agg(F.count("*").alias("n_windows")), "item_id")
+    size = rows.groupBy("item_id").agg(F.count_distinct(F.when(F.col("counts"), F.col("item_at"))).alias("n_windows"))
+    return rows.join(size, "item_id")
 
 
 def bitmap(items: DataFrame) -> np.ndarray:
@@ -130,23 +168,30 @@ def bitmap(items: DataFrame) -> np.ndarray:
     return out
 
 
+def _consistent(hits) -> set[int]:
+    """Places of the windows whose values all map one to one."""
+    forth, back = {}, {}
+    for _, _, pairs in hits:
+        for i, d in pairs:
+            forth.setdefault(i, set()).add(d)
+            back.setdefault(d, set()).add(i)
+    return {at for at, _, pairs in hits if all(len(forth[i]) == 1 == len(back[d]) for i, d in pairs)}
+
+
 def _aligned(rows):
     """Judges one alignment: consistent windows and their longest run."""
-    for *key, n, hits in rows:
-        forth, back = {}, {}
-        split = [[(i.split(":", 1)[1], d.split(":", 1)[1]) for i, d in zip(h["item_slots"], h["slots"], strict=True)] for h in hits]
-        for pairs in split:
-            for i, d in pairs:
-                forth.setdefault(i, set()).add(d)
-                back.setdefault(d, set()).add(i)
-        good = sorted({h["item_at"] for h, pairs in zip(hits, split, strict=True)
-                       if all(len(forth[i]) == 1 == len(back[d]) for i, d in pairs)})
+    for *key, n, found in rows:
+        hits = [(h["item_at"], h["counts"], [(i.split(":", 1)[1], d.split(":", 1)[1]) for i, d in zip(h["item_slots"], h["slots"], strict=True)])
+                for h in found]
+        # windows beyond five words are judged by all, but take none away
+        good = sorted(_consistent([h for h in hits if h[1]]) | _consistent(hits))
         if good:
             run = best = 1
             for a, b in zip(good, good[1:], strict=False):
                 run = run + 1 if b == a + 1 else 1
                 best = max(best, run)
-            yield *key, n, good, best, any(i != d for pairs in split for i, d in pairs)
+            counted = {at for at, counts, _ in hits if counts}
+            yield *key, n, [at for at in good if at in counted], best, any(i != d for _, _, pairs in hits for i, d in pairs)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -160,12 +205,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = B
         return (bits.value[(h >> np.uint64(64 - BITS + 6)).astype(np.int64)] >> ((h >> np.uint64(64 - BITS)) & np.uint64(63)) & np.uint64(1)) > 0
 
     own = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    found = map_rows(own, lambda rows: _window_rows(rows, passed), "doc_id long, text_hash long, at int, key long, slots array<string>")
+    found = map_rows(own, lambda rows: (r[:-1] for r in _window_rows(rows, passed)), "doc_id long, text_hash long, at int, key long, slots array<string>")
     hits = found.join(F.broadcast(items) if size <= broadcast_bytes else items.hint("merge"), "key")
     hits = hits.where("transform(slots, s -> substring_index(s, ':', 2)) = transform(item_slots, s -> substring_index(s, ':', 2))")
     group = ("doc_id", "text_hash", "item_id")
     lines = (hits.withColumn("shift", F.col("at") - F.col("item_at")).groupBy(*group, "shift", "n_windows")
-             .agg(F.collect_set(F.struct("item_at", "item_slots", "slots")).alias("hits")))
+             .agg(F.collect_set(F.struct("item_at", "counts", "item_slots", "slots")).alias("hits")))
     judged = map_rows(lines.select(*group, "n_windows", "hits"), _aligned,
                       "doc_id long, text_hash long, item_id long, n_windows long, good array<int>, run int, changed boolean")
     by_item = judged.groupBy(*group).agg((F.size(F.array_distinct(F.flatten(F.collect_list("good")))) / F.first("n_windows")).alias("share"),

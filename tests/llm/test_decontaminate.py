@@ -104,3 +104,19 @@ def test_repeated_rows(spark, frame):
     rows = flagged(spark, frame, [ITEMS[1][1], ITEMS[1][1], "clean text of no interest at all"], [3, 3, 3])
     assert set(rows[2]) == {(3, 1)}
     assert [r.text[:5] for r in d.drop_contaminated(rows[0], rows[1]).collect()] == ["clean"]
+
+
+def matched(spark, frame, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in d.contaminated(frame(texts), bench).collect()}
+
+
+def test_verbatim_passages_with_names_and_numbers(spark, frame):
+    item = ("in the old days the general George Washington met 12 envoys from France and 3 men from Spain near the river where "
+            "they spoke about trade and peace for a long time before all of them went back home over the hills to tell what "
+            "had been said there and why it mattered so much")
+    names = "Ask Anna Bell Carl Dorn Emil Frey Gina Holt 12 13 14"
+    texts = ["zz " + " ".join(item.split()[:18]) + " qq", " ".join(item.split()[:12]) + " qq", "zz " + names + " qq", names.replace("Carl", "Kurt"),
+             # the skipped window is bridged where the values map one to one
+             "ss the general Peter Hamilton met 15 envoys from Russia and 4 men from Turkey near the river where they qq"]
+    assert matched(spark, frame, [item, names], texts) == {(0, 0), (2, 1), (4, 0)}
