@@ -4,7 +4,9 @@ Words lose marks at their ends and case; numbers, names (capitalised words
 inside a sentence) and units (unit words after a number) become typed
 placeholders.  Windows of five canonical words, or of as many more as it takes
 to hold three literal ones, are the templates' keys.  Windows of five plain
-words are keys as well, so verbatim copies never depend on placeholders.
+words are keys as well, so verbatim copies never depend on placeholders.  A
+capitalised word at the start of a line is read both as a name and as the
+start of a sentence.
 
 1. The benchmark's windows are hashed; a bitmap of fixed size (``BITS``) over
    them is sent to every task.  It can only let too many windows through.
@@ -71,8 +73,10 @@ def _code(word: str) -> int:
 
 def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """(words, literal codes, readings) of a text.  A reading is (codes, kind of
-    placeholder or 0)."""
-    words = (text or "").split()
+    placeholder or 0).  The first takes line breaks as spaces, the second, if it
+    differs, as sentence ends."""
+    lines = [line.split() for line in (text or "").split("\n")]
+    words = [w for line in lines for w in line]
     if len(_memory) > MEMORY:
         _memory.clear()
     for w in set(words):
@@ -84,8 +88,11 @@ def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.nd
     after_number = np.append(False, flags[:-1] & _NUMBER > 0)[:len(words)]
     kind = np.where(flags & _NUMBER, _NUMBER, np.where((flags & _UNIT > 0) & after_number, _UNIT, np.where((flags & _NAME > 0) & ~begins, _NAME, 0)))
     plain = raw & ~np.uint64(15)
+    starts = np.cumsum([0] + [len(line) for line in lines])
+    broken = kind.copy()
+    broken[(starts := starts[starts < len(words)])[kind[starts] == _NAME]] = 0
     readings = []
-    for k in [kind]:
+    for k in [kind] if np.array_equal(kind, broken) else [kind, broken]:
         codes = plain.copy()
         for place, code in _PLACE.items():
             codes[k == place] = code

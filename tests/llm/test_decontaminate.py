@@ -120,3 +120,10 @@ def test_verbatim_passages_with_names_and_numbers(spark, frame):
              # the skipped window is bridged where the values map one to one
              "ss the general Peter Hamilton met 15 envoys from Russia and 4 men from Turkey near the river where they qq"]
     assert matched(spark, frame, [item, names], texts) == {(0, 0), (2, 1), (4, 0)}
+
+
+def test_equal_windows_and_line_starts(spark, frame):
+    item = "We ask how Anna can help Anna now that Anna has lost the book of Anna in town"
+    texts = [item.replace("of Anna", "of Maria"), "Quiz\nWhat is the capital of France?", "Quiz\nWhat is the capital of Spain?",
+             "he said what is\nthe capital of\nFrance to them"]
+    assert matched(spark, frame, [item, "What is the capital of France?"], texts) == {(0, 0), (1, 1), (2, 1), (3, 1)}
