@@ -5,8 +5,8 @@
 2. Inverse document frequencies of all template words are counted over the
    whole corpus.  The index holds each template's ``INDEX_WORDS`` words of
    highest IDF, if at least ``RARE`` of the highest, with their positions.
-3. Each document looks up its ``TOP_WORDS`` highest-IDF index words: their
-   places are joined with the postings, and word place minus template position
+3. Each document looks up all index words it has (the templates bound their
+   number): their places are joined with the postings, and word place minus template position
    names the alignment.  The IDF that one alignment gathers, as a share of all
    the template's indexed IDF, is its score; ``MIN_SCORE`` is needed.
 4. A template counts only if the document holds its mandatory phrase.
@@ -52,6 +52,7 @@ TEMPLATES = (
 )
 RARE = 0.5
 INDEX_WORDS = 8
+#: Only the oracle SQL cuts a document's index words; the operator does not.
 TOP_WORDS = 32
 MIN_SCORE = 0.6
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -94,11 +95,10 @@ def postings(docs: DataFrame) -> list[tuple[str, int, int, float]]:
 def _aligned(docs: DataFrame, index: list[tuple[str, int, int, float]]) -> DataFrame:
     """(doc_id, text_hash, template, score): the best alignment of each template."""
     spark = docs.sparkSession
-    idf = {w: x for w, _, _, x in index}
-    ranked = sorted(idf, key=lambda w: (-idf[w], w))
+    indexed = sorted({w for w, *_ in index})
     rows = ", ".join(f"('{w}', {t}, {i}, {x!r}D)" for w, t, i, x in index)
     table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, template, at, idf)")
-    chosen = _keyed(docs).withColumn("own", F.slice(F.array_intersect(F.array(*map(F.lit, ranked)), _words()), 1, TOP_WORDS))
+    chosen = _keyed(docs).withColumn("own", F.array_intersect(F.array(*map(F.lit, indexed)), _words()))
     places = chosen.where(F.size("own") > 0).select("doc_id", "text_hash", "own", F.posexplode(_words()).alias("place", "word"))
     places = places.where("array_contains(own, word)").select("doc_id", "text_hash", "place", "word")
     own = ("doc_id", "text_hash", "template")

@@ -49,3 +49,11 @@ def test_templates_and_edge_cases(spark, frame):
     assert labels[1] == ("bsd", 1.0) and labels[5][0] == "cc-by-nc" and labels[6] == ("gpl", 1.0) and labels[0] == ("mit", 1.0)
     assert labels[8] == labels[3] == labels[None] == ("", 0.0)
     assert licenses.scan_licenses(frame([])).count() == 0
+
+
+def test_notice_file_with_all_templates(spark, frame):
+    notices = " ; ".join(text for *_, text in licenses.TEMPLATES)
+    prose = ["plain words of a page"] * 40
+    rows = {r.doc_id: r for r in licenses.scan_licenses(frame([notices, *prose, *(text for *_, text in licenses.TEMPLATES)])).collect()}
+    assert [m.template for m in sorted(rows[0].matches, key=lambda m: m.template)] == list(range(len(licenses.TEMPLATES)))
+    assert set(rows[0].labels.split(",")) == {label for label, *_ in licenses.TEMPLATES}
