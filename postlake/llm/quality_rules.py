@@ -4,7 +4,8 @@ Every line is judged on its own by three rules: punctuation (a line made of
 marks: too many ``#*$%&|<>`` or repeated exclamation marks for its words),
 navigation (a menu: short entries between ``|`` or ``>`` bars) and boilerplate
 (a longer line that the document has already had,
-or one that stutters: half of its words repeat the word before).  Failing lines are removed.
+or one that stutters: half of its words repeat the word before).  Failing lines
+are removed: ``clean`` and ``clean_documents`` return what is left.
 A document that loses more than ``MAX_LOST`` of its word characters is
 rejected.  The base statistics and their verdict hold besides: fewer than ten
 words, or more than a fifth of the words in repeated 5-word windows.
@@ -41,6 +42,8 @@ MAX_LOST = 0.5
 
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 _MARKS = re.compile(rb"[#*$%&<>]+|!!+")
+#: ``>`` between entries: no tag's end, quote mark, arrow or comparison.
+_TAGS, _ARROWS = re.compile(rb"</?[A-Za-z][^<>]*>"), re.compile(rb"(?<![<>=\s-])\s*>(?=\s*[^\s<>=])")
 _COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
             "base_failed boolean, kept boolean, n_lines_removed long, lost_share double")
 
@@ -81,6 +84,8 @@ def failed_rule(line: bytes, words: list[bytes], seen_before: bool) -> str | Non
     if n == 0:
         return None
     bars = line.count(b"|")
+    if b">" in line:
+        bars += len(_ARROWS.findall(_TAGS.sub(b" ", line)))
     if bars + 1 >= MIN_ENTRIES and bars >= MAX_BARS * (n - bars):
         return "navigation"
     if len(_MARKS.findall(line)) >= MAX_MARKS * n and n >= 3:
@@ -115,6 +120,24 @@ def judge(text: str | None) -> tuple:
             not failed and share <= MAX_LOST, removed, share)
 
 
+def clean(text: str | None) -> str | None:
+    """The text without its failing lines; all else stays as it is."""
+    if text is None:
+        return None
+    seen: set[bytes] = set()
+    out = []
+    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
+        if not failed_rule(line, line.split(), line in seen):
+            out.append(line)
+        seen.add(line)
+    return b"\n".join(out).decode("utf-8", "surrogatepass")
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with the cleaned text."""
+    return docs.withColumn("text", F.udf(clean, "string", useArrow=True)("text"))
+
+
 def judge_documents(docs: DataFrame) -> DataFrame:
     """doc_id with the statistics, ``base_failed``, ``kept`` and line figures."""
     return map_rows(docs.select("doc_id", "text"), lambda rows: ((d, *judge(t)) for d, t in rows),

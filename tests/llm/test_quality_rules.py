@@ -72,3 +72,17 @@ def test_filter_and_edge_cases(spark, frame):
     assert [(r.doc_id, r.text) for r in q.keep_good(docs).collect()] == [(1, good), (1, good)]
     assert q.keep_good(docs).columns == docs.columns
     assert q.judge_documents(docs).count() == 5 and q.judge_documents(frame([])).count() == 0
+
+
+def test_menus_of_arrows_and_cleaned_text(spark, frame):
+    rule = lambda x: q.failed_rule(x.encode(), x.encode().split(), False)
+    for menu in ("Home > Shop > Shoes > Men", "Home>Shop>Shoes>Men", "Home > Shop | Shoes > Men"):
+        assert rule(menu) == "navigation"
+    for line in ("> > > quoted words of a mail", "<b>one</b> <i>two</i> <u>three</u> <a>four</a> and some more words", "a -> b => c >= d >> e plain words"):
+        assert rule(line) != "navigation"
+    good = "The quick brown fox jumps over the lazy dog and runs far away from here."
+    text = f"Home > Shop > Shoes > Men\n{good}\n\n{good}\nend"
+    docs = frame([text, "\n".join(f"Home > Shop > Shoes > Men > {k}" for k in "abcdef"), None, ""])
+    assert [r.text for r in q.clean_documents(docs).orderBy("doc_id").collect()] == [f"{good}\n\nend", "", None, ""]
+    assert q.clean_documents(docs).schema == docs.schema
+    assert [r.kept for r in q.judge_documents(docs).orderBy("doc_id").collect()][1] is False
