@@ -6,9 +6,10 @@ import hashlib
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, decontaminate, licenses, line_dedup, neardup, pii, quality_rules, secrets, urls, warc
+from postlake.llm import bpe, conversation_repair, decontaminate, licenses, line_dedup, neardup, oracles, pii, quality_rules, secrets, urls, warc
 from postlake.llm.common import ASCII_LOWER, ASCII_UPPER, map_rows, table
 from postlake.session import shared_dir
 
@@ -194,3 +195,42 @@ def op10(spark, sf_dir):
             n, lines = (text or "").count("\n") + 1, line_dedup.kept_lines(text, keep)
             yield doc_id, n, n - len(lines), hashlib.sha256("\n".join(lines).encode("utf-8", "surrogatepass")).hexdigest()
     return map_rows(kept.select("doc_id", "text", "_line_keep"), digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
+@query("op11_conversation_repair", oracles.REPAIR)
+def op11(spark, sf_dir):
+    convs = table(spark, sf_dir, "conversations")
+    repair = conversation_repair.repair_conversations(conversation_repair.damage(convs))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    turns = repair.turns.select("conv_id", "part", "place", F.concat("role", F.lit(":"), "text").alias("line"))
+    ids = convs.schema["conv_id"].dataType.simpleString()
+
+    def digest(batches):
+        # A conversation's digest is one sequential pass: lines are streamed, none is held.
+        now, sha = None, None
+        for batch in batches:
+            done = []
+            for conv, line in zip(batch["conv_id"].to_pylist(), batch["line"].to_pylist(), strict=True):
+                if sha is not None and conv == now:
+                    sha.update(b"\n")
+                else:
+                    if sha is not None:
+                        done.append((now, sha.hexdigest()))
+                    now, sha = conv, hashlib.sha256()
+                sha.update(line.encode("utf-8", "surrogatepass"))
+            yield pa.record_batch([pa.array([c for c, _ in done], batch["conv_id"].type), pa.array([d for _, d in done], pa.string())],
+                                  names=["conv_id", "repaired_sha256"])
+        if sha is not None:
+            yield pa.record_batch([pa.array([now], batch["conv_id"].type), pa.array([sha.hexdigest()], pa.string())],
+                                  names=["conv_id", "repaired_sha256"])
+
+    shas = (turns.repartition("conv_id").sortWithinPartitions("conv_id", "part", "place").select("conv_id", "line")
+            .mapInArrow(digest, f"conv_id {ids}, repaired_sha256 string"))
+    empty = F.lit(None).cast("string")
+    rows = (repair.conversations.withColumn("repaired_sha256", empty)
+            .unionByName(shas.select("conv_id", *(F.lit(0).cast("long").alias(c) for c in counts), empty.alias("audit"), "repaired_sha256"))
+            .unionByName(convs.select("conv_id").distinct().select("conv_id", *(F.lit(0).cast("long").alias(c) for c in counts), empty.alias("audit"),
+                                                                   empty.alias("repaired_sha256"))))
+    return (rows.groupBy("conv_id")
+            .agg(*(F.sum(c).alias(c) for c in counts), F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+                 F.coalesce(F.max("repaired_sha256"), F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256")))
