@@ -9,7 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from postlake.llm import bpe, conversation_repair, decontaminate, licenses, line_dedup, neardup, oracles, pii, quality_rules, secrets, spelling, urls, warc
+from postlake.llm import bpe, conversation_repair, decontaminate, licenses, line_dedup, neardup, oracles, packing, pii, quality_rules, secrets, spelling, urls, warc
 from postlake.llm.common import ASCII_LOWER, ASCII_UPPER, map_rows, table
 from postlake.session import shared_dir
 
@@ -239,3 +239,9 @@ def op11(spark, sf_dir):
 @query("op12_spelling_variants", oracles.VARIANTS)
 def op12(spark, sf_dir):
     return spelling.group_variants(spelling.count_words(spelling.typos(spelling.runs(table(spark, sf_dir, "documents")))))
+
+
+@query("op13_packing")
+def op13(spark, sf_dir):
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
