@@ -9,14 +9,14 @@ rest seeds the next window, so windows have no padding.  A shard's last window
 is cut into sequences whose lengths are powers of two, which need none either.
 
 Terms are token ids.  Their document counts come from all documents (a table no
-larger than the vocabulary).  Shards are ranges of (the document's two heaviest
-terms, doc_id), so neighbours tend to share a shard, and a heavy term that many
-documents share is split by doc_id.  A shard has about ``SHARD_DOCS`` rests,
+larger than the vocabulary).  Shards are ranges of (the rest's two rarest terms
+by the vocabulary's order, doc_id), so neighbours tend to share a shard, and a
+term that many documents share is split by doc_id.  A shard has about ``SHARD_DOCS`` rests,
 each below a window, and is one task's work: its index is a sorted array of
 postings, a query adds up the postings of the seed's terms, all of them.  Where
 no unused document shares a term, the next of the shard follows.
 
-Encoding looks words up in a cache; the tokenizers library encodes the new words
+Encoding looks words up in a cache; the tokenizers library merges the new words
 of a batch together, and the end mark of a word's last token tells them apart.
 
 Cases: null is the empty text, of which only the end id is left.  Repeated rows
@@ -26,6 +26,9 @@ rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +44,7 @@ from postlake.llm.common import slices, written
 WINDOW = 4096
 END_ID = 2
 #: Documents of one index shard, on average.
-SHARD_DOCS = 2_000
+SHARD_DOCS = 1_000
 #: BM25's usual saturation and length weights.
 K1, B = 1.2, 0.75
 
@@ -52,9 +55,15 @@ class Encoder:
     def __init__(self, spec: str):
         import tokenizers
         self.words = loaded(spec)
-        self.library = tokenizers.Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
+        # The library's merges alone: words come normalised, divided and spelled.
+        plain = json.loads(spec) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None,
+                                    "added_tokens": [], "truncation": None, "padding": None}
+        self.library = tokenizers.Tokenizer.from_str(json.dumps(plain))
+        # The word pattern with its classes written out for texts within Latin-1.
+        pattern = self.words.word.pattern
+        for kind in "LN":
+            pattern = pattern.replace(rf"\p{{{kind}}}", "".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == kind))
+        self.latin = re.compile(pattern)
         suffix = self.words.suffix
         self.last = np.zeros(self.words.size, bool)
         self.last[[i for t, i in self.words.vocab.items() if t.endswith(suffix)]] = True
@@ -62,8 +71,17 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def split(self, text: str) -> list[str]:
+        text = unicodedata.normalize("NFC", text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.words.words(text)
+        return self.latin.findall(text.lower())
+
     def learn(self, words: list[str]) -> None:
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        lines = [" ".join(map(self.words.spelled, words[i:i + 200])) for i in range(0, len(words), 200)]
+        ids = np.array([t for x in self.library.encode_batch_fast(lines, add_special_tokens=False) for t in x.ids], "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(words):
             flat, start = ids.tobytes(), 0
@@ -78,18 +96,20 @@ class Encoder:
         split, special = self.words.specials, self.words.special
         parts = []
         for text in texts:
-            pieces = split.split(text or "") if split else [text or ""]
-            parts.append([w for x in pieces if x for w in ([x] if x in special else self.words.words(x))])
+            text = text or ""
+            if any(t in text for t in special):
+                parts.append([w for x in split.split(text) if x for w in ([x] if x in special else self.split(x))])
+            else:
+                parts.append(self.split(text))
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.older = {}, self.cache
-        new = {w for p in parts for w in p} - self.cache.keys() - self.special.keys()
-        known = new & self.older.keys()
-        self.cache |= {w: self.older[w] for w in known}
-        if new := list(new - known):
+        new = set().union(*parts).difference(self.cache, self.special)
+        self.cache |= {w: self.older[w] for w in new if w in self.older}
+        if new := list(new.difference(self.older)):
             self.learn(new)
         self.cache |= self.special
-        cache = self.cache
-        return [b"".join([cache[w] for w in p]) for p in parts]
+        find = self.cache.__getitem__
+        return [b"".join(map(find, p)) for p in parts]
 
 
 @lru_cache(maxsize=2)
@@ -97,19 +117,30 @@ def encoder(spec: str) -> Encoder:
     return Encoder(spec)
 
 
-def encode_ids(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids binary): the ids of every text (``path``: tokenizer file)."""
+def encode_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, doc_tokens, windows, rest, term_1, term_2) of every text: its ids
+    and the end id as full windows and the rest, and the rest's two rarest
+    terms by the vocabulary's order (``path``: tokenizer file)."""
     with open(path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
-    ids = docs.schema["doc_id"].dataType.simpleString()
+    key = docs.schema["doc_id"].dataType.simpleString()
+    end, step = np.array([end_id], "<u4").tobytes(), 4 * window
+    names = ["doc_id", "doc_tokens", "windows", "rest", "term_1", "term_2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                coded = encoder(spec.value).encode(part["text"].to_pylist())
-                yield pa.record_batch([part["doc_id"], pa.array(coded, pa.binary())], names=["doc_id", "ids"])
+                rows = []
+                for ids in encoder(spec.value).encode(part["text"].to_pylist()):
+                    ids += end
+                    full = len(ids) - len(ids) % step
+                    rest = ids[full:]
+                    rare = _terms(rest)[0][-2:].tolist()
+                    rows.append((len(ids) // 4, [ids[i:i + step] for i in range(0, full, step)], rest, *(rare[::-1] + [-1, -1])[:2]))
+                types = (pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.int64(), pa.int64())
+                yield pa.record_batch([part["doc_id"], *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, doc_tokens long, windows array<binary>, rest binary, term_1 long, term_2 long")
 
 
 def _terms(rest: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -220,39 +251,20 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
     offset and the piece's ids (little-endian unsigned 32-bit)."""
     spark = docs.sparkSession
     key = docs.schema["doc_id"].dataType.simpleString()
-    end = F.lit(bytearray(np.array([end_id], "<u4").tobytes()))
-    coded = written(encode_ids(docs, path).select("doc_id", F.concat("ids", end).alias("ids")), "packing-ids")
-    size = F.expr("octet_length(ids) div 4")
-    full = F.col("doc_tokens") - F.col("doc_tokens") % window
-
-    coded = coded.withColumn("doc_tokens", size)
+    coded = written(encode_documents(docs, path, window, end_id), "packing-ids")
     # Every full window is a sequence of its own.
-    whole = (coded.filter(F.col("doc_tokens") >= window)
-             .withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), full - window, F.lit(window).cast("long"))))
-             .select("doc_id", "start", F.lit(window).cast("long").alias("length"), "doc_tokens",
-                     (2 * F.monotonically_increasing_id() + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
-                     F.substring("ids", 4 * F.col("start").cast("int") + 1, F.lit(4 * window)).alias("ids")))
-    rests = (coded.filter(F.col("doc_tokens") % window > 0)
-             .select("doc_id", "doc_tokens", F.expr(f"substring(ids, cast(4 * (doc_tokens - doc_tokens % {window}) + 1 as int))").alias("rest")))
-    n_docs, mean = rests.agg(F.count("*"), F.avg(F.expr("octet_length(rest) div 4"))).first()
+    whole = (coded.filter(F.col("doc_tokens") >= window).select("doc_id", "doc_tokens", F.posexplode("windows").alias("at", "ids"))
+             .select("doc_id", (F.col("at").cast("long") * window).alias("start"), F.lit(window).cast("long").alias("length"), "doc_tokens",
+                     (2 * F.monotonically_increasing_id() + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids"))
+    left = F.col("doc_tokens") % window
+    rests = coded.filter(left > 0)
+    n_docs, mean = rests.agg(F.count("*"), F.avg(left)).first()
     counts = _documents_with(rests, "rest").toPandas()  # at most the vocabulary
     idf = np.zeros(int(counts["term"].max()) + 1 if n_docs else 1)
     n_with = counts["n"].to_numpy(float)
     idf[counts["term"].to_numpy(np.int64)] = np.log1p((n_docs - n_with + 0.5) / (n_with + 0.5))
     held, mean = spark.sparkContext.broadcast(idf), float(mean or 1)
 
-    def sign(batches):
-        for batch in batches:
-            signs = []
-            for rest in batch["rest"].to_pylist():
-                terms, tf = _terms(rest)
-                weight = held.value[terms] * tf / (tf + K1)
-                top = terms[np.lexsort((terms, -weight))[:2]].tolist()
-                signs.append((*top, -1)[:2])
-            yield pa.record_batch([*batch.columns, *(pa.array(c, pa.int64()) for c in zip(*signs, strict=True))] if signs else
-                                  [*batch.columns, pa.array([], pa.int64()), pa.array([], pa.int64())],
-                                  names=["doc_id", "doc_tokens", "rest", "term_1", "term_2"])
-
     def pack(batches):
         shard, held_rows = TaskContext.get().partitionId(), [b for b in batches if b.num_rows]
         if not held_rows:
@@ -280,8 +292,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
 
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
-    signed = rests.mapInArrow(sign, f"doc_id {key}, doc_tokens long, rest binary, term_1 long, term_2 long")
     order = ["term_1", "term_2", "doc_id"]
-    packed = (signed.repartitionByRange(n_docs // shard_docs + 1, *order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "rest")
+    packed = (rests.select("doc_id", "doc_tokens", "rest", "term_1", "term_2").repartitionByRange(n_docs // shard_docs + 1, *order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "rest")
               .mapInArrow(pack, f"doc_id {key}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"))
     return packed.unionByName(whole)
