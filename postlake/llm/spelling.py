@@ -15,8 +15,8 @@ One edit leaves one half of a word as it is.  So each word starts below the
 trie node of its exact first half, in a second trie of reversed words below
 its last half, where few words are left; each depth's edges are read once.  A
 repeated letter can be inserted or deleted at several places; only the last
-counts, so each pair has one path.  An edge knows the lengths of the words
-below it, which prunes states that cannot end.  Every frontier is written to
+counts, so each pair has one path.  An edge knows the lengths and next
+letters of the words below it, which prunes states that cannot go on.  Every frontier is written to
 the shared folder, which cuts the lineage.
 
 A step a letter would not do for endless words.  Pairs whose longer word has
@@ -51,10 +51,11 @@ TRIE_LETTERS = 32
 TYPO_EVERY = 31
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, run): the lower-cased letter runs of every text."""
-    return (docs.select("doc_id", F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), f"[^{LETTERS}]+")).alias("run"))
-            .filter("run <> ''"))
+def runs(docs: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """(doc_id, run): the maximal lower-cased letter runs of every text that are
+    long enough (``typos`` never lengthens one)."""
+    found = F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(f"[{LETTERS}]{{{min_letters},}}+"), F.lit(0))
+    return docs.select("doc_id", F.explode(found).alias("run"))
 
 
 def typos(found: DataFrame) -> DataFrame:
@@ -86,6 +87,11 @@ def _bit(at) -> F.Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
+def _letter_bit(letter) -> F.Column:
+    """One of 64 bits for a letter (none for the empty one: bit 0)."""
+    return _bit((F.ascii(letter) % 64).cast("int"))
+
+
 def trie_pairs(words: DataFrame, min_letters: int, trie_letters: int) -> DataFrame:
     """(word, near, near_n) of near words of up to ``trie_letters`` letters and
     at least ``min_letters`` (4 or more).
@@ -103,13 +109,13 @@ def trie_pairs(words: DataFrame, min_letters: int, trie_letters: int) -> DataFra
     first = min_letters // 2
     edges = (both.withColumn("depth", F.explode(F.sequence(F.lit(first), letters - 1)))
              .groupBy("depth", _head("word", F.col("depth") + 1).alias("node"), _letter("word", F.col("depth") + 1).alias("letter"))
-             .agg(F.bit_or(_bit(letters - 1 - F.col("depth"))).alias("below"),
+             .agg(F.bit_or(_bit(letters - 1 - F.col("depth"))).alias("below"), F.bit_or(_letter_bit(_letter("word", F.col("depth") + 2))).alias("then"),
                   F.max(F.when(letters - 1 == F.col("depth"), F.col("n"))).alias("ends")))
     edges.write.partitionBy("depth").parquet(f"{base}/edges")
     starts = both.select("word", F.col("half").alias("pos"), _head("word", F.col("half") + 1).alias("node"), F.lit(0).alias("edits"),
                          F.lit(None).cast("long").alias("ends"), "half")
     starts.write.partitionBy("half").parquet(f"{base}/starts")
-    state, edge = "word string, pos int, node string, edits int, ends long", "node string, letter string, below long, ends long"
+    state, edge = "word string, pos int, node string, edits int, ends long", "node string, letter string, below long, then long, ends long"
     # At most TRIE_LETTERS numbers each.
     held = {kind: {r[0] for r in spark.read.schema(f"{c} int").parquet(f"{base}/{kind}").select(c).distinct().collect()}
             for kind, c in (("edges", "depth"), ("starts", "half"))}
@@ -134,8 +140,9 @@ def trie_pairs(words: DataFrame, min_letters: int, trie_letters: int) -> DataFra
         ways = ways.when(F.col("pos") < length, F.array(F.struct((F.col("pos") + 1).alias("pos"), F.lit(1).alias("edits")),
                                                         F.struct(F.col("pos"), F.lit(1).alias("edits"))))
         ways = ways.otherwise(F.array(F.struct(F.col("pos"), F.lit(1).alias("edits"))))
-        # Words below the edge must have the letters that the state still asks for.
-        ways = F.filter(ways, lambda w: (w["edits"] == 0) | (F.col("below").bitwiseAND(_bit(length - w["pos"])) != 0))
+        # Words below the edge must be as long as the state asks for, and go on with its next letter.
+        ways = F.filter(ways, lambda w: (w["edits"] == 0) | ((F.col("below").bitwiseAND(_bit(length - w["pos"])) != 0) & (
+            (w["pos"] == length) | (F.col("then").bitwiseAND(_letter_bit(_letter("word", w["pos"] + 1))) != 0))))
         made = (step.select("word", F.concat("node", "letter").alias("node"), F.col("child_ends").alias("ends"), F.explode(ways).alias("way"))
                 .select("word", "way.pos", "node", "way.edits", "ends"))
         path = f"{base}/level-{depth + 1}"
