@@ -1,7 +1,7 @@
 """Model-backed and composite queries.
 
-Fixtures: the topic lexicon is all ``benchmark`` tokens of at least
-``LEXICON_MIN_LEN`` letters; posts are the ``documents`` view; user
+Fixtures: the topic lexicon is every word of ``benchmark`` and every two-word
+phrase that stands in two of its items or more; posts are the ``documents`` view; user
 requests are the user turns of ``conversations``; the bot's route limits are
 calibrated for the 64-d hashing embedder (the reference's 0.2 / 0.55 assume
 a 3072-d model).
@@ -28,20 +28,26 @@ def _route_values(trending: float = rf.TRENDING_MAX_DISTANCE, summary: float = r
 
 FIX_TRENDING_MAX = 0.52
 FIX_SUMMARY_MAX = 0.61
-LEXICON_MIN_LEN = 8                # topics: benchmark tokens of so many letters
 BOT_HANDLE = "@assistant.example"  # fixture value
 FIX_ANSWER_CACHE = 0.25
 
 _MD5 = "CAST(('0x' || substr(md5({x}), {s}, 8)) AS BIGINT)"
 _TOK = "list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 
-_LEX = f"""lex AS (SELECT DISTINCT topic FROM (SELECT unnest({_TOK.format(x='text')}) AS topic FROM benchmark)
-  WHERE length(topic) >= {LEXICON_MIN_LEN})"""
+_LEX = f"""lex_tok AS (SELECT item_id, generate_subscripts(l, 1) AS i, unnest(l) AS t FROM (SELECT item_id, {_TOK.format(x='text')} AS l FROM benchmark)),
+lex AS (SELECT DISTINCT t AS topic FROM lex_tok UNION
+  SELECT tt FROM (SELECT item_id, t || ' ' || lead(t) OVER (PARTITION BY item_id ORDER BY i) AS tt FROM lex_tok)
+  WHERE tt IS NOT NULL GROUP BY tt HAVING count(DISTINCT item_id) >= {topics.PHRASE_TEXTS})"""
 
 
 def _topics_cte(name: str, key: str, source: str) -> str:
-    return f"""{name}_rows AS (SELECT DISTINCT {key}, t AS topic FROM (SELECT {key}, unnest({_TOK.format(x="text")}) AS t FROM {source})
-    WHERE t IN (SELECT topic FROM lex)),
+    """Words, and pairs of words; a word inside a pair that counts does not."""
+    return f"""{name}_tok AS (SELECT {key}, generate_subscripts(l, 1) AS i, unnest(l) AS t FROM (SELECT {key}, {_TOK.format(x="text")} AS l FROM {source})),
+{name}_two AS (SELECT {key}, i, t, CASE WHEN tt IN (SELECT topic FROM lex) THEN tt END AS tt
+  FROM (SELECT {key}, i, t, t || ' ' || lead(t) OVER (PARTITION BY {key} ORDER BY i) AS tt FROM {name}_tok)),
+{name}_rows AS (SELECT {key}, tt AS topic FROM {name}_two WHERE tt IS NOT NULL UNION
+  SELECT {key}, t FROM (SELECT *, lag(tt) OVER (PARTITION BY {key} ORDER BY i) AS before FROM {name}_two)
+  WHERE tt IS NULL AND before IS NULL AND t IN (SELECT topic FROM lex)),
 {name} AS (SELECT s.{key}, coalesce(list_sort(list(r.topic) FILTER (WHERE r.topic IS NOT NULL)), []) AS topics
   FROM {source} s LEFT JOIN {name}_rows r USING ({key}) GROUP BY 1)"""
 
@@ -60,17 +66,15 @@ def embed_cte(name: str, source: str, keys: str, text: str = "text") -> str:
 
 
 def _lexicon(spark, sf_dir):
-    return topics.lexicon_from_texts(read_table(spark, sf_dir, "benchmark"), min_len=LEXICON_MIN_LEN)
+    return topics.saved(topics.lexicon_from_texts(read_table(spark, sf_dir, "benchmark"), "item_id"), "lexicon")
 
 
 def _post_topics(spark, sf_dir, lex=None):
-    lex = lex if lex is not None else _lexicon(spark, sf_dir)
-    return topics.extract_topics(posts(spark, sf_dir), lex, "doc_id")
+    return topics.extract_topics(posts(spark, sf_dir), lex if lex is not None else _lexicon(spark, sf_dir), "doc_id")
 
 
 def _req_topics(spark, sf_dir, lex=None):
-    lex = lex if lex is not None else _lexicon(spark, sf_dir)
-    return topics.extract_topics(user_requests(spark, sf_dir), lex, "request_id")
+    return topics.extract_topics(user_requests(spark, sf_dir), lex if lex is not None else _lexicon(spark, sf_dir), "request_id")
 
 
 @register("embed_text", sql="WITH " + embed_cte("e", "documents", "doc_id") + f"""
@@ -82,13 +86,14 @@ def q_embed_text(spark, sf_dir):
 
 @register("extract_topics", sql=with_(POSTS, _LEX, _POST_TOPICS) + "SELECT doc_id, topics FROM post_topics")
 def q_extract_topics(spark, sf_dir):
-    return _post_topics(spark, sf_dir).select("doc_id", "topics")
+    p = posts(spark, sf_dir).select("doc_id", "text")
+    return topics.extract_topics(p, _lexicon(spark, sf_dir), "doc_id").select("doc_id", "topics")
 
 
 # DuckDB's levenshtein counts UTF-8 bytes, so the oracle states one edit by
 # lengths and common ends, in characters.
 @register("canonical_topics", sql=with_(REQUESTS, _LEX) + f""",
-c AS (SELECT DISTINCT t AS topic FROM (SELECT unnest({_TOK.format(x='text')}) AS t FROM requests) WHERE length(t) >= {LEXICON_MIN_LEN}),
+c AS (SELECT DISTINCT t AS topic FROM (SELECT unnest({_TOK.format(x='text')}) AS t FROM requests)),
 p AS (SELECT c.topic, lex.topic AS entry, length(c.topic) AS n, length(lex.topic) AS m FROM c JOIN lex ON abs(length(c.topic) - length(lex.topic)) <= 1),
 d AS (SELECT topic, entry, CASE WHEN topic = entry THEN 0 ELSE 1 END AS d FROM p
       WHERE EXISTS (SELECT 1 FROM range(1, least(n, m) + 2) r(i) WHERE topic[:i - 1] = entry[:i - 1] AND (
@@ -97,9 +102,7 @@ SELECT c.topic, coalesce(b.entry, c.topic) AS canonical, coalesce(b.d, -1) AS ed
   SELECT topic, entry, d, row_number() OVER (PARTITION BY topic ORDER BY d, entry) AS rk FROM d) b ON b.topic = c.topic AND b.rk = 1""")
 def q_canonical_topics(spark, sf_dir):
     r = user_requests(spark, sf_dir)
-    from postlake.operators.embed import tokens
-    cand = (r.select(F.explode(tokens(F.col("text"))).alias("topic"))
-             .filter(F.length("topic") >= LEXICON_MIN_LEN))
+    cand = r.select(F.explode(topics.words(F.col("text"))).alias("topic"))
     return topics.canonical_topics(cand, _lexicon(spark, sf_dir), max_edits=1)
 
 
