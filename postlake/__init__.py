@@ -5,7 +5,7 @@ Layout
 sources/    readers and derived views (posts, event topics, vector sides, raw events)
 functions/  Column -> Column helpers (text, vectors, hashing); no actions
 operators/  DataFrame -> DataFrame operators (filters, knn, top-k, sketches, dedup, bot)
-streaming/  Structured Streaming builders (file/Kafka sources, foreachBatch sinks)
+streaming/  Structured Streaming builders (file sources, foreachBatch sinks)
 plans/      the registered query catalogue used by ``__spark_entry__`` and ``bench.py``
 """
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlake.operators import sketches as sk
+from postlake.operators.bloom_store import BloomStore
 from postlake.operators.topk import hour_of
 from postlake.plans.registry import register
-from postlake.plans.sql import EVENT_TOPICS, with_
-from postlake.sources.tables import event_topics, read_table
+from postlake.plans.sql import EVENT_TOPICS, POSTS, with_
+from postlake.session import scratch_path
+from postlake.sources.tables import event_topics, posts, read_table
 
 _M, _K = sk.bloom_size()
 _MD5 = "CAST(('0x' || substr(md5({x}), {s}, 8)) AS BIGINT)"
@@ -56,3 +58,18 @@ def q_dedup_bloom(spark, sf_dir):
         F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("event_type")).alias("item"),
         F.col("ts").cast("date").alias("batch"), "event_id")
     return sk.bloom_dedup(e, "item", "batch", "event_id")
+
+
+# No false rejection at this size: the stored filter is far from full.
+@register("bloom_store", sql=with_(POSTS) + """
+SELECT 0 AS run, uri AS item, true AS accepted FROM posts WHERE doc_id % 2 = 0
+UNION ALL SELECT 1, uri, doc_id % 2 <> 0 FROM posts""")
+def q_bloom_store(spark, sf_dir):
+    """D2 kept between runs: a first run takes in half of the posts; a second
+    one, which has only the stored bits, rejects these and takes the others."""
+    p = posts(spark, sf_dir).select("doc_id", F.col("uri").alias("item"))
+    path = scratch_path(spark, "bloom-store")
+    first = BloomStore(spark, path).add(p.where("doc_id % 2 = 0"), 0)
+    second = BloomStore(spark, path).add(p, 1)
+    return (first.select(F.lit(0).alias("run"), "item", "accepted")
+            .unionByName(second.select(F.lit(1).alias("run"), "item", "accepted")))

@@ -13,10 +13,13 @@ from postlake.operators.embed import hash_embed
 from postlake.plans.q_bot import _LEX, _POST_TOPICS, _lexicon, embed_cte
 from postlake.plans.registry import register
 from postlake.plans.sql import EVENT_TOPICS, NOT_BLANK_SQL, POSTS, with_
-from postlake.sources.tables import event_topic_col, micros_to_ts, post_view, read_table
-from postlake.streaming import jobs
+from postlake.plans.q_ingest import _FLAT, _WIRE
+from postlake.sources import events as ev
+from postlake.sources.tables import event_topic_col, micros_to_ts, post_view, posts, read_table
+from postlake.streaming import jobs, late
 
 FIX_FILTER = 0.55                 # related to a benchmark text within this distance
+STEPS = 4                         # arrival steps of the stepped streams
 TRIGGER_SECONDS = 0.2             # interval of the periodic job
 
 _CONTENT = f"p.text IS NOT NULL AND regexp_matches(p.text, '{NOT_BLANK_SQL}') AND p.operation IS DISTINCT FROM 'delete'"
@@ -71,12 +74,35 @@ def q_stream_filter(spark, sf_dir):
     return spark.read.parquet(base + "/filtered").select("doc_id", "uri")
 
 
-@register("stream_enrich", sql=with_(POSTS, _LEX, _POST_TOPICS) + f"""
-SELECT date_trunc('hour', make_timestamp(p.time_us)) AS hour, topic, count(*) AS topic_count FROM (
-  SELECT p.time_us, unnest(t.topics) AS topic FROM posts p JOIN post_topics t USING (doc_id) WHERE {_CONTENT}) p GROUP BY 1, 2""")
+# Topics in the order in which the stream meets them (step, name): each takes a
+# near topic of the vocabulary so far, or joins it.  One topic a recursion step.
+_GROWN = f"""said AS (SELECT p.doc_id, p.time_us, (p.doc_id * 4) // (SELECT max(doc_id) + 1 FROM documents) AS step, unnest(t.topics) AS topic
+  FROM posts p JOIN post_topics t USING (doc_id) WHERE {_CONTENT}),
+names AS (SELECT DISTINCT topic FROM said),
+cut AS (SELECT topic, i, topic[:i - 1] || topic[i + 1:] AS v FROM (SELECT topic, unnest(range(1, length(topic) + 1)) AS i FROM names)),
+near AS (SELECT DISTINCT topic, entry FROM (
+  SELECT a.topic, b.topic AS entry FROM cut a JOIN cut b ON a.i = b.i AND a.v = b.v AND a.topic <> b.topic
+  UNION ALL SELECT cut.topic, n.topic FROM cut JOIN names n ON n.topic = cut.v UNION ALL SELECT n.topic, cut.topic FROM cut JOIN names n ON n.topic = cut.v)),
+near_list AS (SELECT n.topic, coalesce(list(near.entry) FILTER (WHERE near.entry IS NOT NULL), []) AS around FROM names n LEFT JOIN near USING (topic) GROUP BY 1),
+line AS (SELECT row_number() OVER (ORDER BY step, topic) AS i, step, topic, around FROM (SELECT DISTINCT step, topic FROM said) JOIN near_list USING (topic)),
+grow AS (
+  SELECT 0::BIGINT AS i, -1::BIGINT AS step, NULL::VARCHAR AS topic, NULL::VARCHAR AS canonical, []::VARCHAR[] AS old, []::VARCHAR[] AS new
+  UNION ALL
+  SELECT i, step, topic, coalesce(own, first_old, first_new, topic), old, CASE WHEN coalesce(own, first_old, first_new) IS NULL THEN list_append(new, topic) ELSE new END
+  FROM (SELECT *, CASE WHEN list_contains(old, topic) THEN topic END AS own, list_min(list_filter(around, lambda e: list_contains(old, e))) AS first_old,
+               list_min(list_filter(around, lambda e: list_contains(new, e))) AS first_new
+        FROM (SELECT l.i, l.step, l.topic, l.around, CASE WHEN l.step > g.step THEN list_concat(g.old, g.new) ELSE g.old END AS old,
+                     CASE WHEN l.step > g.step THEN [] ELSE g.new END AS new FROM grow g JOIN line l ON l.i = g.i + 1)))"""
+
+
+@register("stream_enrich", sql=with_(POSTS, _LEX, _POST_TOPICS, _GROWN).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT hour, topic, count(*) AS topic_count FROM (
+  SELECT DISTINCT s.doc_id, date_trunc('hour', make_timestamp(s.time_us)) AS hour, g.canonical AS topic
+  FROM said s JOIN grow g ON g.step = s.step AND g.topic = s.topic) GROUP BY 1, 2""")
 def q_stream_enrich(spark, sf_dir):
-    """W7 stage 2: topics (M1) canonicalised (M2), new ones appended to the
-    vocabulary (A6), the post table updated (S14) and hourly counts (A2)."""
+    """W7 stage 2: topics (M1) canonicalised against the vocabulary so far
+    (M2), new ones appended to it (A6), the post table updated (S14) and hourly
+    counts (A2)."""
     base = stream_enrich(spark, sf_dir)
     return _summed(spark, base + "/counts")
 
@@ -85,21 +111,22 @@ def stream_enrich(spark, sf_dir):
     base, lex = jobs.new_dir(spark, "stream-enrich"), _lexicon(spark, sf_dir)
 
     def enrich(df, batch_id):
-        found = topics.extract_topics(df, lex, "doc_id").persist()
-        names = found.select(F.explode("topics").alias("topic")).distinct()
-        canonical = topics.canonical_topics(names, lex).select("topic", "canonical")
-        rows = (found.select("doc_id", "time_us", F.explode("topics").alias("topic")).join(canonical, "topic")
-                .select("doc_id", micros_to_ts(F.col("time_us")).alias("ts"), F.col("canonical").alias("topic")).distinct())
+        found = topics.saved(topics.extract_topics(df.select("doc_id", "uri", "time_us", "text"), lex, "doc_id").drop("text"), "enrich")
         known = jobs.earlier(spark, base + "/vocabulary", batch_id)
-        new = rows.select("topic").distinct() if known is None else topk.add_to_vocabulary(known, rows)
+        raw = found.select("doc_id", "time_us", F.explode("topics").alias("topic"))
+        grown = topics.saved(topics.grow_vocabulary(raw, known), "grown")
+        rows = (raw.join(grown.select("topic", "canonical"), "topic")
+                .select("doc_id", micros_to_ts(F.col("time_us")).alias("ts"), F.col("canonical").alias("topic")).distinct())
         own = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
         table = found.select("doc_id", "uri").join(own, "doc_id", "left")
-        for name, out in (("vocabulary", new), ("posts", table), ("counts", topk.hourly_counts(rows))):
+        for name, out in (("posts", table), ("counts", topk.hourly_counts(rows)), ("vocabulary", grown.where("is_new").select("topic"))):
             out.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
-        found.unpersist()
 
-    posts = filters.content_filter(post_view(jobs.file_stream(spark, _documents(spark, sf_dir), max_files=1)))
-    jobs.run(posts.writeStream.foreachBatch(enrich), base + "/_ck")
+    docs = read_table(spark, sf_dir, "documents")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    steps = docs.withColumn("step", F.floor(F.col("doc_id") * STEPS / (last + 1)).cast("int"))
+    late.in_steps(steps, "step", STEPS, lambda s: filters.content_filter(post_view(s)).writeStream
+                  .foreachBatch(enrich), "enrich")
     return base
 
 
@@ -132,8 +159,8 @@ def q_fan_out(spark, sf_dir):
         kept.write.mode("overwrite").parquet(f"{base}/table/batch_id={batch_id}")
         kept.unpersist()
 
-    posts = post_view(jobs.file_stream(spark, _documents(spark, sf_dir), max_files=1))
-    jobs.run(posts.writeStream.foreachBatch(both), base + "/_ck")
+    arriving = post_view(jobs.file_stream(spark, _documents(spark, sf_dir), max_files=1))
+    jobs.run(arriving.writeStream.foreachBatch(both), base + "/_ck")
     s = spark.read.parquet(base + "/stream").select(F.lit("filtered").alias("sink"), "doc_id", "uri")
     t = jobs.latest(spark, base + "/table", ["uri"]).select(F.lit("table").alias("sink"), "doc_id", "uri")
     return s.unionByName(t)
@@ -155,8 +182,8 @@ def append_posts(spark, path):
     def with_id(df, batch_id):
         return df.select("doc_id", "uri", F.monotonically_increasing_id().alias("seq"))
 
-    posts = post_view(jobs.file_stream(spark, path, max_files=1))
-    jobs.run(posts.writeStream.foreachBatch(jobs.batch_writer(base + "/stream", transform=with_id)), base + "/_ck")
+    arriving = post_view(jobs.file_stream(spark, path, max_files=1))
+    jobs.run(arriving.writeStream.foreachBatch(jobs.batch_writer(base + "/stream", transform=with_id)), base + "/_ck")
     return spark.read.parquet(base + "/stream")
 
 
@@ -182,3 +209,92 @@ def q_consume_group(spark, sf_dir):
     runs = spark.sql("SELECT grp, run FROM VALUES ('filter-group'), ('topic-group') AS g(grp) CROSS JOIN VALUES (1), (2) AS r(run)")
     counts = delivered.groupBy("grp", "run").agg(F.count(F.lit(1)).alias("n"))
     return runs.join(counts, ["grp", "run"], "left").select("grp", "run", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+# Events arrive in four steps by id; every 13th comes two steps late.
+_STEPPED = f"""stepped AS (SELECT event_id, ts, event_type, user_id, CASE WHEN event_id % 13 = 0 THEN least(s + 2, {STEPS - 1}) ELSE s END AS step
+  FROM (SELECT *, (event_id * {STEPS}) // (SELECT max(event_id) + 1 FROM events) AS s FROM events))"""
+
+
+def _watermarks(source: str) -> str:
+    """Watermark of each step's batch, and of the end (step {STEPS})."""
+    return f"""wm AS (SELECT s.step, date_trunc('millisecond', (SELECT max(ts) FROM {source} x WHERE x.step < s.step) - INTERVAL 1 HOUR) AS wm
+  FROM range(0, {STEPS + 1}) s(step))"""
+
+
+def stepped_events(events, steps=STEPS, late_by=2):
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    step = F.floor(F.col("event_id") * steps / (last + 1))
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id",
+                         F.when(F.col("event_id") % 13 == 0, F.least(step + late_by, F.lit(steps - 1))).otherwise(step).cast("int").alias("step"))
+
+
+@register("stream_windows", sql=with_(_STEPPED, _watermarks("stepped")) + f"""
+SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n
+FROM stepped JOIN wm USING (step), (SELECT wm AS last FROM wm WHERE step = {STEPS})
+WHERE (wm IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > wm) AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= last
+GROUP BY 1, 2""")
+def q_stream_windows(spark, sf_dir):
+    """Hourly counts in append mode under a watermark of one hour.  Late
+    events whose window has closed are dropped; windows still open at the end
+    of the input do not come out."""
+    return stream_windows(spark, read_table(spark, sf_dir, "events"))[0]
+
+
+def stream_windows(spark, events, steps=STEPS):
+    out = jobs.new_dir(spark, "windows")
+    progress = late.in_steps(stepped_events(events, steps), "step", steps, lambda s: late.windowed_counts(s, ["event_type"]).writeStream
+                             .outputMode("append").foreachBatch(jobs.batch_writer(out)), "stepped")
+    rows = spark.read.parquet(out)
+    return rows.select(F.col("start").cast("timestamp_ntz").alias("hour"), "event_type", "n"), progress
+
+
+# Every 5th event is delivered again a step later, every 7th two steps later.
+_DELIVERED = f"""delivered AS (SELECT event_id, ts, user_id, step FROM stepped
+  UNION ALL SELECT event_id, ts, user_id, least(step + 1, {STEPS - 1}) FROM stepped WHERE event_id % 5 = 0
+  UNION ALL SELECT event_id, ts, user_id, least(step + 2, {STEPS - 1}) FROM stepped WHERE event_id % 7 = 0)"""
+
+
+def deliveries(events, steps=STEPS):
+    s = stepped_events(events, steps)
+    again = lambda every, by: s.where(F.col("event_id") % every == 0).withColumn("step", F.least(F.col("step") + by, F.lit(steps - 1)))
+    return s.unionByName(again(5, 1)).unionByName(again(7, 2))
+
+
+@register("stream_unique", sql=with_(_STEPPED, _DELIVERED, _watermarks("delivered")) + """
+SELECT event_id, min(user_id) AS user_id, min(step) AS step FROM delivered JOIN wm USING (step) WHERE wm IS NULL OR ts > wm GROUP BY 1""")
+def q_stream_unique(spark, sf_dir):
+    """D1 on a stream: events delivered several times come out once; state
+    expires with the watermark, and deliveries behind it are dropped."""
+    return stream_unique(spark, read_table(spark, sf_dir, "events"))[0]
+
+
+def stream_unique(spark, events, steps=STEPS):
+    out = jobs.new_dir(spark, "unique")
+    rows = deliveries(events, steps).withColumn("arrived", F.col("step"))
+    progress = late.in_steps(rows, "step", steps, lambda s: late.first_deliveries(s, ["event_id"]).writeStream
+                             .outputMode("append").foreachBatch(jobs.batch_writer(out)), "delivered")
+    return spark.read.parquet(out).select("event_id", "user_id", F.col("arrived").cast("long").alias("step")), progress
+
+
+@register("stream_raw", sql=with_(POSTS, _WIRE, _FLAT) + """
+SELECT 'events' AS sink, uri, text, CAST(NULL AS VARCHAR) AS line FROM flat WHERE seq % 11 <> 3
+UNION ALL SELECT 'quarantine', NULL, NULL, '{"seq":' || CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 11 = 3""")
+def q_stream_raw(spark, sf_dir):
+    """S1/S7 from raw lines: a stream over NDJSON files, parsed, restricted to
+    posts (S2) and flattened (S3); every 11th line is cut off and goes to the
+    quarantine sink as it came."""
+    return stream_raw(spark, posts(spark, sf_dir))[0]
+
+
+def stream_raw(spark, rows):
+    base = jobs.new_dir(spark, "raw")
+    wire = ev.raw_event_json(rows)
+    cut = F.concat(F.lit('{"seq":'), F.col("seq").cast("string"))
+    wire.select(F.when(F.col("seq") % 11 == 3, cut).otherwise(F.col("value")).alias("value")).write.text(base + "/in")
+    flat = lambda good: ev.flatten_event(ev.collection_scan(good).withColumn("seq", F.lit(None).cast("long"))).drop("seq")
+    progress = jobs.run(jobs.raw_events(spark, base + "/in").writeStream.foreachBatch(jobs.split_sinks(base + "/out", flat)), base + "/_ck")
+    events = spark.read.parquet(base + "/out/events").select(F.lit("events").alias("sink"), "uri", "text", F.lit(None).cast("string").alias("line"))
+    bad = spark.read.parquet(base + "/out/quarantine").select(F.lit("quarantine").alias("sink"), F.lit(None).cast("string").alias("uri"),
+                                                              F.lit(None).cast("string").alias("text"), F.col("value").alias("line"))
+    return events.unionByName(bad), progress

@@ -1,7 +1,7 @@
 """Raw post events: schema, parsing, flattening and the stream-entry codec
 (S1, S2, S3, S9, S10, T6, T7).
 
-Raw events arrive as JSON text (one event per line, from files or Kafka).
+Raw events arrive as JSON text (one event per line of a file).
 They are parsed with an explicit nested schema; unknown fields are ignored
 and malformed lines land in ``_corrupt_record`` for quarantine.
 """
@@ -101,9 +101,14 @@ def raw_event_json(posts: DataFrame) -> DataFrame:
 _PARSED_SCHEMA = T.StructType([*RAW_EVENT_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
 
 
+def is_malformed() -> Column:
+    """Rows of ``parse_events`` that are no event."""
+    return F.col("event").isNull() | F.col("event._corrupt_record").isNotNull()
+
+
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good events, quarantined raw rows) of ``parse_events``."""
-    bad = F.col("event").isNull() | F.col("event._corrupt_record").isNotNull()
+    bad = is_malformed()
     return parsed.where(~bad), parsed.where(bad)
 
 

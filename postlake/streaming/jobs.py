@@ -1,7 +1,7 @@
 """Streaming jobs.
 
-* Sources: a file stream over a folder of Parquet files (or Kafka in
-  production); a consumer group is one streaming query with its own
+* Sources: a file stream over a folder of Parquet files, or of raw NDJSON lines
+  with a quarantine for malformed ones; a consumer group is one streaming query with its own
   ``checkpointLocation`` (the cursor); the commit log is the acknowledgement.
   ``max_files`` bounds a read like the reference's ``count``.
 * Sinks are ``foreachBatch`` writers keyed by ``batch_id``: a replayed batch
@@ -19,10 +19,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.session import scratch_path
+from postlake.sources import events as ev
 
 ALLOWED_LATENESS = "1 hour"
 
@@ -55,20 +58,50 @@ def batch_writer(path: str, mode: str = "overwrite", transform=None):
     return write
 
 
-def run(query_builder, checkpoint: str, every: float | None = None) -> None:
+def run(query_builder, checkpoint: str, every: float | None = None) -> list[dict]:
     """Start ``query_builder`` (a DataStreamWriter) and wait until the input is
-    used up: with ``availableNow``, or every ``every`` seconds."""
+    used up: with ``availableNow``, or every ``every`` seconds.  Returns the
+    batches' progress."""
     writer = query_builder.option("checkpointLocation", checkpoint)
     if every is None:
-        writer.trigger(availableNow=True).start().awaitTermination()
-        return
+        q = writer.trigger(availableNow=True).start()
+        q.awaitTermination()
+        return progress(q)
     q = writer.trigger(processingTime=f"{every} seconds").start()
     try:
         q.processAllAvailable()
+        return progress(q)
     finally:
         q.stop()
 
 
+def progress(query) -> list[dict]:
+    """The batches of a query so far, as plain dicts."""
+    return [json.loads(p.json) for p in query.recentProgress]
+
+
+def raw_events(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A folder of NDJSON files as a stream of lines (``value``).  Rows
+    and malformed rows are observed as ``raw`` (``rows``, ``quarantined``)."""
+    r = spark.readStream
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    parsed = ev.parse_events(r.text(path))
+    return parsed.observe("raw", F.count(F.lit(1)).alias("rows"), F.count_if(ev.is_malformed()).alias("quarantined"))
+
+
+def split_sinks(path: str, transform):
+    """foreachBatch sink of parsed events: ``path/events`` gets
+    ``transform(good)``, ``path/quarantine`` the malformed lines as they came."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        good, bad = ev.split_quarantine(df)
+        for name, out in (("events", transform(good)), ("quarantine", bad.select("value"))):
+            out.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+        df.unpersist()
+    return write
+
+
 def earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """What batches before ``batch_id`` wrote below ``path``; None for the
     first.  Errors of reading it are raised."""

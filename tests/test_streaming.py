@@ -70,3 +70,46 @@ def test_consumer_groups_independent_and_idempotent(spark):
     rows = {(r.grp, r.run): r.n for r in E.queries()["consume_group"](spark, SF001).collect()}
     assert rows[("filter-group", 1)] == rows[("topic-group", 1)] > 0
     assert rows[("filter-group", 2)] == rows[("topic-group", 2)] == 0
+
+
+def test_state_stays_bounded_and_repeats_are_dropped(spark):
+    """D1 with expiring state: ten batches hold what arrives within the lateness, not the stream."""
+    from postlake.plans.q_streaming import deliveries, stream_unique
+    from postlake.sources.tables import read_table
+    from postlake.streaming import late
+    events = read_table(spark, SF001, "events")
+    out, progress = stream_unique(spark, events, steps=10)
+    ids = [r.event_id for r in out.select("event_id").collect()]
+    assert len(ids) == len(set(ids)) < events.count()
+    assert late.observed_rows(progress) == deliveries(events, 10).count()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert len(held) >= 10 and max(held) <= 1.5 * held[0] and max(held) < 0.2 * events.count()
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress if p["stateOperators"]) > 0
+
+
+def test_windows_close_behind_the_watermark(spark):
+    from pyspark.sql import functions as F
+
+    from postlake.plans.q_streaming import stream_windows
+    from postlake.sources.tables import read_table
+    from postlake.streaming import late
+    events = read_table(spark, SF001, "events")
+    out, progress = stream_windows(spark, events)
+    rows = out.collect()
+    assert len({(r.hour, r.event_type) for r in rows}) == len(rows)      # each window comes out once
+    batch = {(r.hour, r.event_type): r.n for r in events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type")
+             .agg(F.count("*").alias("n")).collect()}
+    assert all(r.n <= batch[r.hour, r.event_type] for r in rows) and sum(r.n for r in rows) < events.count()
+    assert late.observed_rows(progress) == events.count()
+    assert sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"]) > 0
+
+
+def test_raw_lines_and_quarantine(spark):
+    from postlake.plans.q_streaming import stream_raw
+    from postlake.sources.tables import posts
+    rows = posts(spark, SF001)
+    out, progress = stream_raw(spark, rows)
+    bad = rows.where("doc_id % 11 = 3").count()
+    seen = [p["observedMetrics"]["raw"] for p in progress if "raw" in p["observedMetrics"]]
+    assert sum(s["rows"] for s in seen) == rows.count() and sum(s["quarantined"] for s in seen) == bad > 0
+    assert out.where("sink = 'quarantine'").count() == bad and out.where("line IS NOT NULL AND uri IS NOT NULL").count() == 0
