@@ -52,8 +52,6 @@ TEMPLATES = (
 )
 RARE = 0.5
 INDEX_WORDS = 8
-#: Only the oracle SQL cuts a document's index words; the operator does not.
-TOP_WORDS = 32
 MIN_SCORE = 0.6
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

@@ -102,10 +102,8 @@ idf AS (SELECT DISTINCT tw.word, ln(((SELECT count(*) FROM d) + 1) / (coalesce(d
 idx AS (SELECT t, pos, word, idf FROM (SELECT t, pos, word, idf, row_number() OVER (PARTITION BY t ORDER BY idf DESC, pos) AS rk,
         max(idf) OVER (PARTITION BY t) AS top FROM tw JOIN idf USING (word)) WHERE rk <= {licenses.INDEX_WORDS} AND idf >= {licenses.RARE} * top),
 place AS (SELECT doc_id, i AS place, ws[i] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) WHERE ws[i] IN (SELECT word FROM idx)),
-own AS (SELECT doc_id, word FROM (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY idf DESC, word) AS rk
-        FROM (SELECT DISTINCT doc_id, word FROM place) JOIN idf USING (word)) WHERE rk <= {licenses.TOP_WORDS}),
 line AS (SELECT doc_id, t, sum(idf) AS got FROM (SELECT DISTINCT p.doc_id, x.t, p.place - x.pos AS start, x.pos, x.idf
-         FROM place p JOIN own USING (doc_id, word) JOIN idx x ON x.word = p.word) GROUP BY doc_id, t, start),
+         FROM place p JOIN idx x ON x.word = p.word) GROUP BY doc_id, t, start),
 best AS (SELECT doc_id, line.t, max(got / total) AS score FROM line JOIN (SELECT t, sum(idf) AS total FROM idx GROUP BY 1) s ON s.t = line.t GROUP BY 1, 2),
 ok AS (SELECT best.doc_id, list(DISTINCT t.label) AS labels, max(score) AS score FROM best JOIN t USING (t) JOIN d USING (doc_id)
        WHERE score >= {licenses.MIN_SCORE} AND contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || phrase || ' ') GROUP BY 1)
@@ -149,9 +147,12 @@ li AS (SELECT doc_id, i, l[i] AS line FROM (SELECT doc_id, l, generate_subscript
 lw AS (SELECT doc_id, line, list_filter(regexp_split_to_array(line, '{_BLANK}'), lambda x: x <> '') AS ws,
               row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS before FROM li WHERE regexp_matches(line, '[^ 	-
 ]')),
-m AS (SELECT doc_id, before, len(ws) AS n, strlen(array_to_string(ws, '')) AS size, length(line) - length(replace(line, '|', '')) AS bars,
+arrows AS (SELECT *, string_split(regexp_replace(line, '</?[A-Za-z][^<>]*>', ' ', 'g'), '>') AS parts FROM lw),
+m AS (SELECT doc_id, before, len(ws) AS n, strlen(array_to_string(ws, '')) AS size, length(line) - length(replace(line, '|', '')) +
+             len(list_filter(range(1, len(parts)), lambda i: (regexp_matches(parts[i], '[^<=\x20\x09-\x0D-][\x20\x09-\x0D]*$') OR
+               (i = 1 AND regexp_matches(parts[i], '^[\x20\x09-\x0D]*$'))) AND regexp_matches(parts[i + 1], '^[\x20\x09-\x0D]*[^<=\x20\x09-\x0D]'))) AS bars,
              len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks,
-             len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS same FROM lw),
+             len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS same FROM arrows),
 f AS (SELECT *, (bars + 1 >= {quality_rules.MIN_ENTRIES} AND bars >= {quality_rules.MAX_BARS} * (n - bars))
              OR (marks >= {quality_rules.MAX_MARKS} * n AND n >= 3)
              OR (n >= {quality_rules.BOILERPLATE_WORDS} AND (before OR 2 * same >= n)) AS bad FROM m),

@@ -14,9 +14,10 @@ the request, response and metadata rows are joined through their
 concurrent-to identifiers to one nested row per capture.
 
 Cases: a null payload is the empty one, a null url or page_id is left out of
-the record (null when read).  Rows equal in page_id, url and payload are one
-capture; equal payloads with equal page_id tie by url, and one is the
-response.  An empty table gives an empty result.  Other columns stay out.
+the record (null when read).  Every row is a capture with an id of its own,
+also where rows are equal (``pages`` must give its rows in the same order each
+time, as tables do); equal payloads with equal page_id tie by url, then by the
+row's place, and one is the response.  An empty table gives an empty result.  Other columns stay out.
 """
 
 from __future__ import annotations
@@ -64,14 +65,15 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
     """Writes ``pages`` (page_id, url, html) as gzipped WARC files below ``path``."""
     rows = pages.select("page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumns({"size": F.octet_length("html"), "digest": F.sha1(F.col("html").cast("binary"))})
+    rows = rows.withColumns({"size": F.octet_length("html"), "digest": F.sha1(F.col("html").cast("binary")), "row": F.monotonically_increasing_id()})
     groups = written(rows.where(F.col("size") >= min_revisit).groupBy("digest")
-                     .agg(F.max(F.struct("page_id", "url")).alias("kept"), F.count("*").alias("n"))
+                     .agg(F.max(F.struct("page_id", "url", "row")).alias("kept"), F.count("*").alias("n"))
                      .where("n > 1").select("digest", "kept"), "warc-groups")
     rows = rows.join(groups, "digest", "left")
-    revisit = F.col("kept").isNotNull() & ~F.struct("page_id", "url").eqNullSafe(F.col("kept"))
+    revisit = F.col("kept").isNotNull() & (F.col("row") != F.col("kept.row"))
     rows = rows.withColumn("revisit", revisit).withColumn("refers", F.when(F.col("revisit"), F.col("kept")))
-    own = _uuid("response", F.col("page_id"), F.col("url"), F.col("digest"))
+    ids = [F.col("page_id"), F.col("url"), F.col("digest"), F.col("row")]
+    own = _uuid("response", *ids)
     uri, day = _line("WARC-Target-URI", F.col("url")), _line("WARC-Date", F.lit(date))
     digest = _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))
     beside = _line("WARC-Concurrent-To", own)
@@ -82,9 +84,8 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
     fields = F.concat(_line("page-id", F.col("page_id")), _line("payload-bytes", F.col("size")),
                       _line("refers-to-page-id", F.col("refers.page_id")))
     kind = F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response"))
-    to = F.when(F.col("revisit"), _uuid("response", F.col("refers.page_id"), F.col("refers.url"), F.col("digest")))
+    to = F.when(F.col("revisit"), _uuid("response", F.col("refers.page_id"), F.col("refers.url"), F.col("digest"), F.col("refers.row")))
     profile = F.when(F.col("revisit"), F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-    ids = [F.col("page_id"), F.col("url"), F.col("digest")]
     capture = F.concat_ws(_EOL * 2,
                           _record(F.lit("request"), _uuid("request", *ids), [day, uri, beside], "application/http; msgtype=request", request),
                           _record(kind, own, [day, uri, digest, _line("WARC-Refers-To", to), _line("WARC-Profile", profile)],

@@ -86,3 +86,23 @@ def test_menus_of_arrows_and_cleaned_text(spark, frame):
     assert [r.text for r in q.clean_documents(docs).orderBy("doc_id").collect()] == [f"{good}\n\nend", "", None, ""]
     assert q.clean_documents(docs).schema == docs.schema
     assert [r.kept for r in q.judge_documents(docs).orderBy("doc_id").collect()][1] is False
+
+
+def test_oracle_sql_states_the_rules(spark, frame, tmp_path):
+    """Bars and arrows, tags, quotes and comparisons: SQL and operator agree."""
+    import duckdb
+    lines = ["Home > Shop > Shoes > Men", "A > B > C > D", "> quoted > text", ">> deep > a > b > c", "a -> b => c >= d > e > f > g", "<b>x</b> > y > z > w",
+             "Home | Shop | A > B", "if a > b then c < d > e", "x>y>z>w>v", "  > a > b > c", "a > > b > c > d", "### !!! $$$ %%", "same same same same same same"]
+    texts = [x + "\nplain words that stay here in the text for good reason and more" for x in lines] + ["\n".join(lines), None, "", "\n> \n"]
+    docs = frame(texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    from postlake.llm.queries import QUERIES, SQL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = con.execute(SQL["op7_quality_rules"])
+    names = [d[0] for d in got.description]
+    want = {r["doc_id"]: {n: r[n] for n in names} for r in QUERIES["op7_quality_rules"](spark, str(tmp_path)).collect()}
+    for row in got.fetchall():
+        mine = dict(zip(names, row, strict=True))
+        assert {k: round(v, 9) if isinstance(v, float) else v for k, v in want[mine["doc_id"]].items()} == {
+            k: round(v, 9) if isinstance(v, float) else v for k, v in mine.items()}, texts[mine["doc_id"]]

@@ -49,11 +49,18 @@ def test_repeated_and_null_rows(spark):
     h = "q" * 2000
     got = captures(spark, [(1, "u", h, "t")] * 3 + [(None, "v", h, "t"), (1, "t", h, None)])
     assert sorted((c.metadata.fields.get("page-id"), c.response.type) for c in got if c.metadata.fields.get("page-id")) == [
-        ("1", "response"), ("1", "revisit")]
+        ("1", "response"), ("1", "revisit"), ("1", "revisit"), ("1", "revisit")]
+    assert len({c.response.record_id for c in got}) == 5 and len({c.response.refers_to for c in got}) == 2
     assert [c.response.type for c in got if not c.metadata.fields.get("page-id")] == ["revisit"]
     assert captures(spark, []) == []
 
 
+def test_every_row_gives_a_result(spark, tmp_path):
+    rows = [(1, "u", "q" * 2000)] * 3 + [(2, "u", "q" * 2000), (3, None, "s"), (3, None, "s"), (4, "w", None), (4, "w", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(map(tuple, QUERIES["op6_warc"](spark, str(tmp_path)).collect()), key=str) == sorted(brute(rows), key=str)
+
+
 def test_reader_takes_members_and_plain_archives():
     one = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     members = gzip.compress(one) + gzip.compress(one * 2)
