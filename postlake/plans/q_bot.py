@@ -148,18 +148,6 @@ def q_load_filter_refs(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("load_route_refs", sql=f"""
-SELECT ref_id, text, route, max_distance FROM (VALUES {_route_values()}) AS t(ref_id, text, route, max_distance),
-  (SELECT count(*) AS n FROM benchmark) WHERE n >= 0""")
-def q_load_route_refs(spark, sf_dir):
-    """The route references by a guarded load; a second load adds nothing."""
-    path = scratch_path(spark, "route-refs")
-    first = rf.load_once(spark, rf.route_references(spark), path)
-    second = rf.load_once(spark, rf.route_references(spark), path)
-    assert first and not second
-    return spark.read.parquet(path)
-
-
 # ---------------------------------------------------------------- bot
 _STORE = f"""store AS (SELECT p.doc_id, p.text, p.time_us, t.topics FROM posts p JOIN post_topics t USING (doc_id)
   WHERE p.text IS NOT NULL AND regexp_matches(p.text, '{NOT_BLANK_SQL}') AND p.operation IS DISTINCT FROM 'delete')"""
@@ -178,6 +166,24 @@ routed AS (SELECT request_id, arg_min({{'r': route, 'm': max_distance, 'd': d}},
   GROUP BY request_id, clause_no),
 routes AS (SELECT q.request_id, coalesce(list_sort(list_distinct(list(best.r) FILTER (WHERE best.d < best.m))), []) AS routes
   FROM requests q LEFT JOIN routed USING (request_id) GROUP BY 1)"""
+@register("load_route_refs", sql=with_(REQUESTS, _ROUTES) + f""",
+nearest AS (SELECT arg_min({{'id': ref_id, 'd': d}}, (round(d, 12), ref_id)) AS best FROM (
+  SELECT c.request_id, c.clause_no, r.ref_id, list_cosine_distance(CAST(c.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS d
+  FROM clause_vec c, route_vec r) GROUP BY request_id, clause_no)
+SELECT t.ref_id, t.text, t.route, t.max_distance, coalesce(n.n, 0) AS n_clauses
+FROM (VALUES {_route_values()}) AS t(ref_id, text, route, max_distance) LEFT JOIN (SELECT best.id AS ref_id, count(*) AS n FROM nearest GROUP BY 1) n USING (ref_id)""")
+def q_load_route_refs(spark, sf_dir):
+    """The route references by a guarded load (a second load adds
+    nothing), and how many clauses of the requests each is the nearest to."""
+    path = scratch_path(spark, "route-refs")
+    first = rf.load_once(spark, rf.route_references(spark), path)
+    second = rf.load_once(spark, rf.route_references(spark), path)
+    assert first and not second
+    refs = spark.read.parquet(path)
+    used = bot.nearest_references(user_requests(spark, sf_dir), refs).groupBy("ref_id").agg(F.count(F.lit(1)).alias("n"))
+    return refs.join(used, "ref_id", "left").select("ref_id", "text", "route", "max_distance", F.coalesce("n", F.lit(0)).alias("n_clauses"))
+
+
 _BOT = with_(POSTS, REQUESTS, _LEX, _POST_TOPICS, _REQ_TOPICS, _STORE, _TRENDING, _ROUTES)
 _MATCHES = f""",
 matches AS (SELECT DISTINCT r.request_id, s.doc_id, s.text, s.topics
