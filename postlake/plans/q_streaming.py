@@ -1,6 +1,6 @@
 """Streaming queries (W1-W8, S4, S6-S8, S15).  Each cuts a driver table into
-files that arrive one after the other, runs a Structured Streaming job with one
-file per micro-batch into the shared folder, and returns the sink as a
+steps of several files that arrive one after the other, runs a Structured Streaming
+job with one step per micro-batch into the shared folder, and returns the sink as a
 DataFrame; the oracle is the batch SQL of the same operator (stream result =
 batch result)."""
 
@@ -32,8 +32,14 @@ SELECT hour, topic, topic_count, rank FROM (
 WHERE rank <= 15"""
 
 
-def _documents(spark, sf_dir, files=4):
-    return jobs.arriving_files(read_table(spark, sf_dir, "documents"), "doc_id", files)
+def _arriving(df, order_col, steps=4, **kw):
+    """(folder, files of a step) of a table that arrives in steps."""
+    n = jobs.files_per_step(df, steps)
+    return jobs.arriving_files(df, order_col, steps, per_step=n, **kw), n
+
+
+def _documents(spark, sf_dir, steps=4):
+    return _arriving(read_table(spark, sf_dir, "documents"), "doc_id", steps)
 
 
 def _summed(spark, path):
@@ -51,8 +57,8 @@ def q_stream_topk(spark, sf_dir):
 
 def stream_topk_log(spark, events, newest_first=True):
     out = jobs.new_dir(spark, "stream-topk")
-    ev = jobs.file_stream(spark, jobs.arriving_files(events, "ts", newest_first=newest_first), max_files=1)
-    rows = ev.select("ts", event_topic_col().alias("topics"))
+    arriving = jobs.file_stream(spark, *_arriving(events, "ts", newest_first=newest_first))
+    rows = arriving.select("ts", event_topic_col().alias("topics"))
     jobs.run(rows.writeStream.foreachBatch(jobs.log_counts(
         out, lambda df: topk.hourly_counts(df.select("ts", F.explode("topics").alias("topic"))), "ts")), out + "/_checkpoint")
     return out
@@ -67,7 +73,7 @@ def q_stream_filter(spark, sf_dir):
     periodic job (W8)."""
     base = jobs.new_dir(spark, "stream-filter")
     examples = hash_embed(read_table(spark, sf_dir, "benchmark"), ["item_id"], "text").withColumnRenamed("item_id", "ref_id")
-    raw = post_view(jobs.file_stream(spark, _documents(spark, sf_dir), max_files=1))
+    raw = post_view(jobs.file_stream(spark, *_documents(spark, sf_dir)))
     vectors = hash_embed(filters.content_filter(raw), ["doc_id", "uri", "text", "time_us"], "text")
     related = knn.classify(vectors, examples, FIX_FILTER).where("is_related").select("doc_id", "uri")
     jobs.run(related.writeStream.foreachBatch(jobs.batch_writer(base + "/filtered")), base + "/_ck", every=TRIGGER_SECONDS)
@@ -138,8 +144,8 @@ def q_stream_dedup(spark, sf_dir):
     """D1 on a stream: the state store keeps each key's first occurrence, a
     batch logs only the keys it changed, and no batch rereads earlier ones."""
     base = jobs.new_dir(spark, "stream-dedup")
-    ev = jobs.file_stream(spark, jobs.arriving_files(read_table(spark, sf_dir, "events"), "event_id"), max_files=1)
-    firsts = ev.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    arriving = jobs.file_stream(spark, *_arriving(read_table(spark, sf_dir, "events"), "event_id"))
+    firsts = arriving.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
     jobs.run(firsts.writeStream.outputMode("update").foreachBatch(jobs.batch_writer(base + "/log")), base + "/_ck")
     return jobs.latest(spark, base + "/log", ["user_id", "event_type"])
 
@@ -159,7 +165,7 @@ def q_fan_out(spark, sf_dir):
         kept.write.mode("overwrite").parquet(f"{base}/table/batch_id={batch_id}")
         kept.unpersist()
 
-    arriving = post_view(jobs.file_stream(spark, _documents(spark, sf_dir), max_files=1))
+    arriving = post_view(jobs.file_stream(spark, *_documents(spark, sf_dir)))
     jobs.run(arriving.writeStream.foreachBatch(both), base + "/_ck")
     s = spark.read.parquet(base + "/stream").select(F.lit("filtered").alias("sink"), "doc_id", "uri")
     t = jobs.latest(spark, base + "/table", ["uri"]).select(F.lit("table").alias("sink"), "doc_id", "uri")
@@ -171,18 +177,19 @@ def q_append_stream(spark, sf_dir):
     """Append with a monotone entry id ``(batch_id, seq)`` where ``seq``
     comes from ``monotonically_increasing_id`` (no single-partition sort).
     ``entry_no`` is the place of the id in the stream: arrival order."""
-    s = append_posts(spark, _documents(spark, sf_dir))
+    s = append_posts(spark, *_documents(spark, sf_dir))
     return ranking.global_rank(s, [F.asc("batch_id"), F.asc("seq")], "entry_no").select("doc_id", "uri", "entry_no")
 
 
-def append_posts(spark, path):
+def append_posts(spark, path, files=1):
     """(doc_id, uri, batch_id, seq) of all entries appended."""
     base = jobs.new_dir(spark, "append")
 
     def with_id(df, batch_id):
-        return df.select("doc_id", "uri", F.monotonically_increasing_id().alias("seq"))
+        ordered = df.select("doc_id", "uri").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        return ordered.select("doc_id", "uri", F.monotonically_increasing_id().alias("seq"))
 
-    arriving = post_view(jobs.file_stream(spark, path, max_files=1))
+    arriving = post_view(jobs.file_stream(spark, path, files))
     jobs.run(arriving.writeStream.foreachBatch(jobs.batch_writer(base + "/stream", transform=with_id)), base + "/_ck")
     return spark.read.parquet(base + "/stream")
 
@@ -195,15 +202,15 @@ SELECT grp, run, n FROM (
   UNION ALL SELECT 'topic-group', 2, 0)""")
 def q_consume_group(spark, sf_dir):
     """Two consumer groups read the same stream independently from
-    the beginning, a file at a time (S7); a second run of each group (same
+    the beginning, a step's files at a time (S7); a second run of each group (same
     checkpoint) delivers nothing again.  ``n`` is the number of entries that
     reached the group's sink per run."""
-    base, path = jobs.new_dir(spark, "groups"), jobs.arriving_files(read_table(spark, sf_dir, "events"), "event_id")
+    base, (path, files) = jobs.new_dir(spark, "groups"), _arriving(read_table(spark, sf_dir, "events"), "event_id")
     delivered = None
     for grp in ("filter-group", "topic-group"):
         for number in (1, 2):
-            ev = jobs.file_stream(spark, path, max_files=1)
-            jobs.run(ev.writeStream.foreachBatch(jobs.batch_writer(f"{base}/{grp}/run={number}")), f"{base}/checkpoint-{grp}")
+            arriving = jobs.file_stream(spark, path, files)
+            jobs.run(arriving.writeStream.foreachBatch(jobs.batch_writer(f"{base}/{grp}/run={number}")), f"{base}/checkpoint-{grp}")
         rows = spark.read.parquet(f"{base}/{grp}").select(F.lit(grp).alias("grp"), "run")
         delivered = rows if delivered is None else delivered.unionByName(rows)
     runs = spark.sql("SELECT grp, run FROM VALUES ('filter-group'), ('topic-group') AS g(grp) CROSS JOIN VALUES (1), (2) AS r(run)")

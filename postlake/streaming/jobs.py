@@ -28,17 +28,27 @@ from postlake.session import scratch_path
 from postlake.sources import events as ev
 
 ALLOWED_LATENESS = "1 hour"
+#: Rows of one arriving file, at most, where a step has many.
+ROWS_PER_FILE = 1_000_000
 
 
-def arriving_files(df: DataFrame, order_col: str, files: int = 4, newest_first: bool = False) -> str:
-    """Writes ``df`` as ``files`` files in ranges of ``order_col``, one after
-    the other: the arrival order of a stream over the folder returned."""
+def files_per_step(df: DataFrame, steps: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files of one arrival step: as many as its rows need, two at least."""
+    return max(2, -(-df.count() // (steps * rows_per_file)))
+
+
+def arriving_files(df: DataFrame, order_col: str, files: int = 4, newest_first: bool = False, per_step: int = 1) -> str:
+    """Writes ``df`` in ``files`` ranges of ``order_col``, one after the other,
+    each as ``per_step`` files by as many tasks: the arrival order of a stream
+    that takes ``per_step`` files a trigger from the folder returned."""
     spark, base = df.sparkSession, scratch_path(df.sparkSession, "arriving")
-    ranged = df.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+    ranged = df.repartitionByRange(files * per_step, order_col).sortWithinPartitions(order_col)
     ranged.withColumn("__part", F.spark_partition_id()).write.parquet(base + "/ranged")
     parts = spark.read.parquet(base + "/ranged")
     for p in sorted(range(files), reverse=newest_first):
-        parts.where(F.col("__part") == p).drop("__part").coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(base + "/in")
+        step = parts.where((F.col("__part") >= p * per_step) & (F.col("__part") < (p + 1) * per_step)).drop("__part")
+        step = step.coalesce(1) if per_step == 1 else step.repartitionByRange(per_step, order_col)
+        step.sortWithinPartitions(order_col).write.mode("append").parquet(base + "/in")
     return base + "/in"
 
 

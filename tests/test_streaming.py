@@ -53,7 +53,7 @@ def test_restart_between_batches(spark):
 
 def test_entry_ids_grow_over_batches(spark):
     from postlake.plans.q_streaming import _documents, append_posts
-    rows = sorted((r.batch_id, r.seq, r.doc_id) for r in append_posts(spark, _documents(spark, SF001, 3)).collect())
+    rows = sorted((r.batch_id, r.seq, r.doc_id) for r in append_posts(spark, *_documents(spark, SF001, 3)).collect())
     assert [d for *_, d in rows] == sorted(d for *_, d in rows) and len({b for b, *_ in rows}) == 3
 
 
