@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlake.functions import text as tx
-from postlake.operators import filters, tables, topk
+from postlake.operators import filters, keyed, tables, topk
 from postlake.plans.registry import register
 from postlake.plans.sql import EVENT_TOPICS, NOT_BLANK_SQL, POSTS, with_
+from postlake.session import scratch_path
 from postlake.sources.tables import POST_EPOCH_US, event_topics, posts, read_table, stored_time_range
 
 _JTRIM = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
@@ -19,6 +20,7 @@ RANGE_START_US = POST_EPOCH_US + 2 * 3600 * 1_000_000
 RANGE_END_US = POST_EPOCH_US + 8 * 3600 * 1_000_000
 CAP_LEN = 5000                 # stream cap for the fixture (the reference cap is 1,000,000)
 SEARCH_TERM = "that"
+CURSOR_PAGES = 3               # pages read through cursors
 
 
 @register("content_filter", sql=with_(POSTS) + """
@@ -175,3 +177,42 @@ WHERE p.batch + 1 <= 5 AND NOT EXISTS (
   SELECT 1 FROM top c WHERE c.hour = p.hour AND c.batch = p.batch + 1 AND c.topic = p.topic)""")
 def q_topk_evictions(spark, sf_dir):
     return topk.topk_evictions(event_topics(spark, sf_dir))
+
+
+@register("keyed_table", sql=with_(POSTS) + """
+SELECT uri, doc_id, CASE WHEN doc_id % 50 = 0 THEN time_us + 1 ELSE time_us END AS time_us,
+       CASE WHEN doc_id % 50 = 0 THEN 'edited ' || CAST(doc_id AS VARCHAR) ELSE text END AS text,
+       CASE WHEN doc_id % 100 = 7 THEN 'hide' ELSE operation END AS operation
+FROM posts""")
+def q_keyed_table(spark, sf_dir):
+    """S13/S14 on disk: the post table in hash buckets, saved once, then some
+    posts saved again (the same update twice, and once with an older version)
+    and one field of others replaced."""
+    return keyed_posts(spark, posts(spark, sf_dir).select("uri", "doc_id", "time_us", "text", "operation")).read()
+
+
+def keyed_posts(spark, p):
+    table = keyed.KeyedTable(spark, scratch_path(spark, "keyed"), p.schema, "uri", "time_us", keyed.buckets_for(p.count()))
+    table.upsert(p)
+    edits = p.where("doc_id % 50 = 0").withColumn("time_us", F.col("time_us") + 1).withColumn("text", F.concat(F.lit("edited "), F.col("doc_id").cast("string")))
+    stale = p.where("doc_id % 50 = 0").withColumn("time_us", F.col("time_us") - 1).withColumn("text", F.lit("stale"))
+    table.upsert(edits.unionByName(stale))
+    table.upsert(edits)
+    table.update_field(p.where("doc_id % 100 = 7").select("uri", F.lit("hide").alias("operation")), "operation")
+    return table
+
+
+@register("search_cursor", sql=_SEARCH_SQL + f"""
+SELECT CAST((position - 1) // 100 AS BIGINT) AS page_no, uri, time_us FROM ranked WHERE position <= 100 * {CURSOR_PAGES}""")
+def q_search_cursor(spark, sf_dir):
+    """S16 by cursor: the first pages, each asked for with the cursor that the
+    page before returned."""
+    p, cursor, pages = posts(spark, sf_dir).select("uri", "time_us", "text"), None, None
+    as_of = F.lit(p.agg(F.max("time_us")).first()[0])
+    for number in range(CURSOR_PAGES):
+        page, cursor = keyed.search_page(p, SEARCH_TERM, as_of, cursor)
+        page = page.select(F.lit(number).cast("long").alias("page_no"), "uri", "time_us")
+        pages = page if pages is None else pages.unionByName(page)
+        if cursor is None:
+            break
+    return pages
