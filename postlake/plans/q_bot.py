@@ -19,7 +19,7 @@ from postlake.plans.registry import register
 from postlake.plans.sql import NOT_BLANK_SQL, POSTS, REQUESTS, chunk_cte, fill_cte, with_
 from postlake.session import scratch_path
 from postlake.sources import refs as rf
-from postlake.sources.tables import POST_EPOCH_US, micros_to_ts, posts, read_table, user_requests
+from postlake.sources.tables import POST_EPOCH_US, micros_to_ts, posts, read_table, spread, user_requests
 
 def _route_values(trending: float = rf.TRENDING_MAX_DISTANCE, summary: float = rf.SUMMARY_MAX_DISTANCE) -> str:
     rows = [(t, rf.TRENDING_ROUTE, trending) for t in rf.TRENDING_REFERENCES] + [(t, rf.SUMMARY_ROUTE, summary) for t in rf.SUMMARY_REFERENCES]
@@ -70,7 +70,7 @@ def _lexicon(spark, sf_dir):
 
 
 def _post_topics(spark, sf_dir, lex=None):
-    return topics.extract_topics(posts(spark, sf_dir), lex if lex is not None else _lexicon(spark, sf_dir), "doc_id")
+    return topics.extract_topics(spread(posts(spark, sf_dir)), lex if lex is not None else _lexicon(spark, sf_dir), "doc_id")
 
 
 def _req_topics(spark, sf_dir, lex=None):
@@ -81,12 +81,12 @@ def _req_topics(spark, sf_dir, lex=None):
 SELECT d.doc_id, coalesce(e.embedding, list_transform(range({EMBED_DIM}), lambda i: CAST(0 AS FLOAT))) AS embedding
 FROM documents d LEFT JOIN e USING (doc_id)""")
 def q_embed_text(spark, sf_dir):
-    return hash_embed(read_table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    return hash_embed(spread(read_table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"], "text")
 
 
 @register("extract_topics", sql=with_(POSTS, _LEX, _POST_TOPICS) + "SELECT doc_id, topics FROM post_topics")
 def q_extract_topics(spark, sf_dir):
-    p = posts(spark, sf_dir).select("doc_id", "text")
+    p = spread(posts(spark, sf_dir).select("doc_id", "text"))
     return topics.extract_topics(p, _lexicon(spark, sf_dir), "doc_id").select("doc_id", "topics")
 
 

@@ -29,6 +29,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores (a small table in one file),
+    dealt over the cores before costly work; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def build_uri(did: Column, rkey: Column) -> Column:
     """``at://{did}/app.bsky.feed.post/{rkey}`` whatever the collection."""
     return F.concat(F.lit("at://"), did, F.lit(f"/{POST_COLLECTION}/"), rkey)
