@@ -19,7 +19,9 @@ one row; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -337,8 +339,9 @@ def find_pii(docs: DataFrame, crf: ShapeCrf | None = None) -> DataFrame:
         texts = [t or "" for _, t in rows]
         for (doc_id, _), text, more in zip(rows, texts, crf_spans(crf, texts), strict=True):
             spans = base_spans(text)
-            taken = list(spans)
-            spans += [x for x in more if x[0] < x[1] and not any(s < x[1] and x[0] < e for s, e, _ in taken)]
+            starts, reach = [s for s, _, _ in spans], [0, *accumulate((e for _, e, _ in spans), max)]
+            # the furthest end of the base spans that start before a span's end
+            spans += [x for x in more if x[0] < x[1] and reach[bisect_left(starts, x[1])] <= x[0]]
             spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
             yield doc_id, [{"start": s, "end": e, "kind": k} for s, e, k in spans]
 

@@ -77,3 +77,18 @@ def test_crf_adds_spans(spark, frame):
     assert got == sorted([(0, [("local_phone", 12, 26)]), (1, [("name", 11, 22)]), (2, [("email", 5, 29)]), (3, []), (None, []), (5, []),
                           (5, [("national_id", len(long) + 6, len(long) + 17)])], key=str)
     assert pii.find_pii(frame([])).count() == 0
+
+
+def test_model_spans_beside_many_base_spans(spark, frame, monkeypatch):
+    """The merge of sorted spans drops what a comparison of all pairs drops."""
+    import random
+    rnd = random.Random(3)
+    text = " ".join(rnd.choice(["a@b.org", "1.2.3.4", "+49 171 2345678", "word", "x@y.z.com"]) for _ in range(400))
+    base = pii.base_spans(text)
+    more = [(s, s + rnd.randrange(9), "name") for s in sorted(rnd.randrange(len(text)) for _ in range(600))]
+    monkeypatch.setattr(pii, "crf_spans", lambda crf, texts: [more for _ in texts])
+    monkeypatch.setattr(pii, "KINDS", (*pii.KINDS, "name"))
+    monkeypatch.setattr(pii, "map_rows", lambda df, fn, schema: list(fn([(0, text)])))
+    got = [(x["start"], x["end"], x["kind"]) for x in pii.find_pii(frame([text]))[0][1]]
+    want = base + [x for x in more if x[0] < x[1] and not any(s < x[1] and x[0] < e for s, e, _ in base)]
+    assert sorted(got) == sorted(want) and len(want) > len(base)
