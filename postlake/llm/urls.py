@@ -3,52 +3,56 @@
 1. Host and path come from the url by expressions.  A rule (verdict, host,
    path) fits its host and all subdomains if the path starts with the rule's;
    the longest fitting rule decides.
-2. Word counts over the text of all pages make a unigram model, kept as a
-   count-mean-min sketch of fixed size, so it can be sent to every task
-   whatever the corpus.  Unigram Viterbi splits each host label into words.
+2. The words in the text of all pages are counted exactly.  Substrings of the
+   distinct host labels are joined with these counts, so each label travels
+   with its own words, and unigram Viterbi splits it.  A word in a label has at
+   most ``MAX_LABEL`` letters, the length of a label in the domain name system;
+   unseen words have any length.
 3. The pages that a rule decides are the labelled rows of a multinomial naive
-   Bayes model over segmented host words and path words.  Tokens count into
-   ``TOKEN_BUCKETS`` hashed buckets; partial counts are summed by Spark and at
-   most that many rows per class reach the driver.
+   Bayes model over segmented host words and path words, counted exactly.
 4. Pages without a rule get the verdict of the log odds (block above 0).
 
-Nothing is grouped by host, so a host with a third of all pages costs no more
-than others.
+The work is in joins of written tables.  Keys with over 1/``HOT`` of the rows
+(a host, label or token of many pages) are fewer than ``HOT``, so these few are
+broadcast and no join meets a hot key.  Words of up to three letters, which
+stand in most labels, are at most 26 + 26^2 + 26^3 and travel with the task.
+No count depends on the corpus's size otherwise: no sketch, buckets or cuts.
 
 Cases: a null url or one without ``://`` has empty host and path; then no rule
 fits and the class priors decide.  Without labelled rows all log odds are 0:
-allow.  Every row gives one row; repeated rows and null ids too.
+allow.  Every row gives one row; repeated rows and null ids too.  Other columns
+are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import ascii_lower, map_rows, slices
+from postlake.llm.common import ascii_lower, map_rows, slices, written
 
 #: (verdict, host, path); fixed values.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-SKETCH_BITS = 20
-TOKEN_BUCKETS = 1 << 16
-#: Cells that travel to the driver together.
-BLOCK = 4096
-MAX_WORD = 20
-#: Labels kept per worker process; beyond, the memory starts anew.
-MEMORY = 100_000
+MAX_LABEL = 63
+SHORT = 3
+HOT = 1_000
+#: Words a task counts before it passes its counts on.
+HELD = 1 << 18
+#: Cost of an unseen word's letter.
+LETTER = 2.5
 
 _TAGS = re.compile(r"<(?:script|style)[^>]*>.*?</(?:script|style)>|<[^>]*>", re.S | re.I)
 _WORDS = re.compile(r"[a-z]+")
-_TOKENS = re.compile(r"[^\W_]+")
-_SPLIT = re.compile(r"[.\-_:@]+")
+#: Parts of a host between separators: numbers and the labels beside them.
+_PARTS = r"[0-9]+|[^0-9.\-_:@]+"
+_TOKENS = r"[\p{L}\p{M}\p{N}]+"
 
 
 def with_host_path(pages: DataFrame) -> DataFrame:
@@ -67,87 +71,51 @@ def with_rule(hosts: DataFrame, rules=RULES) -> DataFrame:
     return hosts.withColumns({"rule": rule, "rule_verdict": verdict})
 
 
-def cells(word: str) -> tuple[int, int]:
-    """The two cells of a word in the sketch."""
-    h = xxhash.xxh64_intdigest(word)
-    mask = (1 << SKETCH_BITS) - 1
-    return h & mask, (h >> 32) & mask
-
-
 def page_words(html: str | None) -> list[str]:
     return _WORDS.findall(_TAGS.sub(" ", html or "").lower())
 
 
-def _summed(parts: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
-    """Sums (cell, n) rows by cell into an array.  Cells are packed into dense
-    blocks first, so the driver gets the array's size, whatever the corpus."""
-    def dense(key, rows):
-        block = np.zeros(BLOCK, np.float32)
-        block[rows["cell"].to_numpy() % BLOCK] = rows["n"].to_numpy()
-        return pa.table({"block": pa.array([key[0].as_py()]), "counts": pa.array([block.tobytes()], pa.binary())})
-
-    sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("block", F.expr(f"cell div {BLOCK}"))
-    got = sums.groupBy("block").applyInArrow(dense, "block long, counts binary").toArrow()
-    size = int(np.prod(shape))
-    out = np.zeros((-(-size // BLOCK), BLOCK))
-    for at, counts in zip(got["block"].to_pylist(), got["counts"].to_pylist(), strict=True):
-        out[at] = np.frombuffer(counts, np.float32)
-    return out.ravel()[:size].reshape(shape)
+def word_counts(pages: DataFrame) -> DataFrame:
+    """(word, n) of all words in the text of all pages."""
+    def rows(total):
+        return pa.record_batch({"word": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
 
-
-def _counting(count):
-    """A task's counts by cell, a batch at a time: a partial aggregate."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in batches:
             for part in slices(batch):
-                count(total, list(zip(*(c.to_pylist() for c in part.columns), strict=True)))
-            if len(total) > 1 << 18:
-                yield _cells(total)
+                for html in part.column(0).to_pylist():
+                    total.update(page_words(html))
+            if len(total) > HELD:
+                yield rows(total)
                 total = Counter()
-        yield _cells(total)
+        yield rows(total)
+
+    return pages.select("html").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-    def _cells(total):
-        return pa.record_batch({"cell": pa.array(total.keys(), pa.int64()), "n": pa.array(total.values(), pa.int64())})
-    return run
 
+class Segmenter:
+    """Unigram Viterbi; ``counts`` hold the short words, ``split`` gets the others."""
 
-def word_sketch(pages: DataFrame) -> np.ndarray:
-    """Counts of all words in the text of all pages: 2 rows of ``2 ** SKETCH_BITS`` cells."""
-    def count(total: Counter, rows):
-        words: Counter = Counter()
-        for (html,) in rows:
-            words.update(page_words(html))
-        for w, n in words.items():
-            if len(w) <= MAX_WORD:
-                a, b = cells(w)
-                total[a] += n
-                total[b + (1 << SKETCH_BITS)] += n
-    return _summed(pages.select("html").mapInArrow(_counting(count), "cell long, n long"), (2, 1 << SKETCH_BITS))
+    def __init__(self, counts: dict[str, int], total: int):
+        self.counts, self.total = counts, total
+        self.unseen = -math.log(total + 1)
 
+    def log_probability(self, word: str, more: dict[str, int]) -> float:
+        """An unseen word costs more than any seen one, and more with its length."""
+        n = more.get(word) or self.counts.get(word)
+        return math.log(n / self.total) if n else self.unseen - LETTER * len(word)
 
-class Segmenter:
-    """Unigram Viterbi over the words of a sketch."""
-
-    def __init__(self, sketch: np.ndarray):
-        self.total = float(sketch[0].sum())
-        # mean-min: what other words add to a cell on average is taken off
-        noise = (self.total - sketch) / max(1, sketch.shape[1] - 1)
-        self.count = np.maximum(sketch - noise, 0).astype(np.float32)
-        self.memory: dict[str, list[str]] = {}
-
-    def log_probability(self, word: str) -> float:
-        a, b = cells(word)
-        n = min(self.count[0][a], self.count[1][b])
-        # an unseen word costs more than any seen one, and more with its length
-        return float(np.log(n / self.total)) if n >= 0.5 else float(-np.log(self.total + 1) - 2.5 * len(word))
-
-    def split(self, label: str) -> list[str]:
-        if label in self.memory:
-            return self.memory[label]
-        best, back = [0.0], [0]
+    def split(self, label: str, more: dict[str, int]) -> list[str]:
+        best, back, longest = [0.0], [0], max([SHORT, *map(len, more)])
+        start, at = 0.0, 0      # where an unseen word best begins
         for j in range(1, len(label) + 1):
-            options = ((best[i] + self.log_probability(label[i:j]), i) for i in range(max(0, j - MAX_WORD), j))
+            if best[-1] + LETTER * (j - 1) > start:
+                start, at = best[-1] + LETTER * (j - 1), j - 1
+            options = [(start - LETTER * j + self.unseen, at)]
+            for i in range(max(0, j - longest), j):
+                if n := more.get(label[i:j]) or self.counts.get(label[i:j]):
+                    options.append((best[i] + math.log(n / self.total), i))
             score, i = max(options)
             best.append(score)
             back.append(i)
@@ -155,60 +123,77 @@ class Segmenter:
         while j:
             out.append(label[back[j]:j])
             j = back[j]
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        self.memory[label] = out[::-1]
-        return self.memory[label]
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        """``h:`` words of the host and ``p:`` words of the path; numbers by length."""
-        out = [f"h:{w}" for label in _SPLIT.split(host) if label for run in re.findall(r"\d+|\D+", label)
-               for w in (self.split(run) if not run.isdigit() else [f"#{len(run)}"])]
-        return out + [f"p:#{len(t)}" if t.isdigit() else f"p:{t.lower()}" for t in _TOKENS.findall(path)]
-
-
-def bucket(token: str) -> int:
-    return xxhash.xxh32_intdigest(token) % TOKEN_BUCKETS
-
-
-class NaiveBayes:
-    """Multinomial naive Bayes over hashed tokens; classes allow and block."""
-
-    def __init__(self, counts: np.ndarray, rows: np.ndarray):
-        likelihood = np.log((counts + 1) / (counts.sum(1, keepdims=True) + counts.shape[1]))
-        self.prior = float(np.log((rows[1] + 1) / (rows[0] + 1)))
-        self.odds = (likelihood[1] - likelihood[0]).astype(np.float32)
-
-    def log_odds(self, tokens: Iterable[str]) -> float:
-        return self.prior + float(sum(self.odds[bucket(t)] for t in tokens))
-
-
-def train(labelled: DataFrame, segmenter) -> NaiveBayes:
-    """Fits on (host, path, rule_verdict) rows; ``segmenter`` is a broadcast."""
-    n = TOKEN_BUCKETS
-
-    def count(total: Counter, rows):
-        for host, path, verdict in rows:
-            c = int(verdict == "block")
-            total[2 * n + c] += 1
-            total.update(c * n + bucket(t) for t in segmenter.value.tokens(host, path))
-    got = _summed(labelled.select("host", "path", "rule_verdict").mapInArrow(_counting(count), "cell long, n long"), (2 * n + 2,))
-    return NaiveBayes(got[:2 * n].reshape(2, n), got[2 * n:])
+        return out[::-1]
+
+
+def by_frequency(rows: DataFrame, lookup: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``lookup`` (unique ``key``, its count ``n``
+    among ``total`` rows): the few hot keys by broadcast, the others by shuffle."""
+    hot, rest = lookup.where(F.col("n") * HOT > total).drop("n"), lookup.where(F.col("n") * HOT <= total).drop("n")
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(others.join(rest, key))
+
+
+def segments(labels: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds ``words``, the label's segmentation, to the rows (label, n)."""
+    total = words.agg(F.sum("n")).first()[0] or 0
+    short = words.where(F.length("word") <= SHORT).toArrow()
+    segmenter = Segmenter(dict(zip(short["word"].to_pylist(), short["n"].to_pylist(), strict=True)), total)
+    cut = labels.where(F.length("label") > SHORT).select("label", F.explode(F.expr(f"sequence(1, length(label) - {SHORT})")).alias("i"))
+    cut = cut.select("label", "i", F.explode(F.expr(f"sequence({SHORT + 1}, least({MAX_LABEL}, length(label) - i + 1))")).alias("k"))
+    cut = cut.select("label", F.expr("substring(label, i, k)").alias("word")).where("word rlike '^[a-z]+$'")
+    known = cut.join(words, "word").groupBy("label").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+
+    def split(rows):
+        for label, n, known in rows:
+            more = {w["word"]: w["n"] for w in known or ()}
+            yield label, n, [f"#{len(label)}"] if label[0] in "0123456789" else segmenter.split(label, more)
+
+    return map_rows(labels.join(known, "label", "left").select("label", "n", "known"), split, "label string, n long, words array<string>")
+
+
+def host_words(hosts: DataFrame, pages: DataFrame) -> DataFrame:
+    """Adds ``words``, the segmented parts of the host in order, to (host, n)."""
+    parts = written(hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit(_PARTS), F.lit(0))).alias("at", "label")), "url-parts")
+    labels = written(parts.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "url-labels")
+    split = written(segments(labels, written(word_counts(pages), "url-words")), "url-segments")
+    joined = by_frequency(parts, split, "label", parts.count())
+    lists = joined.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"))
+    return hosts.join(lists, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+
+
+def with_log_odds(rows: DataFrame) -> DataFrame:
+    """Adds ``log_odds`` to the rows without ``rule_verdict``, by multinomial
+    naive Bayes over ``tokens``, fitted on those with one.  ``row`` is unique."""
+    block, allow = (F.sum((F.col("rule_verdict") == c).cast("long")) for c in ("block", "allow"))
+    prior = rows.agg(block, allow).first()
+    tokens = rows.select("row", "rule_verdict", F.explode("tokens").alias("token"))
+    model = written(tokens.groupBy("token").agg(F.coalesce(block, F.lit(0)).alias("b"), F.coalesce(allow, F.lit(0)).alias("a"),
+                                                F.count(F.lit(1)).alias("n")), "url-tokens")
+    size = model.agg(F.sum("b"), F.sum("a"), F.sum((F.col("a") + F.col("b") > 0).cast("long")), F.sum("n")).first()
+    b, a, types, total = (int(x or 0) for x in size)
+    # odds of a token that no labelled row has; the others by what they add to that
+    unseen = math.log(max(1, a + types) / max(1, b + types))
+    seen = model.where("a + b > 0").select("token", "n", F.log((F.col("b") + 1) / (F.col("a") + 1)).alias("odds"))
+    adds = by_frequency(tokens.where("rule_verdict is null").select("row", "token"), seen, "token", total).groupBy("row").agg(F.sum("odds").alias("adds"))
+    start = math.log(((prior[0] or 0) + 1) / ((prior[1] or 0) + 1))
+    odds = F.round(F.lit(start) + F.size("tokens") * F.lit(unseen) + F.coalesce("adds", F.lit(0.0)), 9)
+    scored = rows.where("rule_verdict is null").join(adds, "row", "left").withColumn("log_odds", odds).drop("adds")
+    return scored.unionByName(rows.where("rule_verdict is not null").withColumn("log_odds", F.lit(None).cast("double")))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, log_odds (null where a rule decides)
-    and the tokens that were scored."""
-    sc = pages.sparkSession.sparkContext
+    and the tokens that were scored: ``h:`` words of the host and ``p:`` words
+    of the path, numbers by length."""
     ruled = with_rule(with_host_path(pages), rules)
-    segmenter = sc.broadcast(Segmenter(word_sketch(pages)))
-    model = sc.broadcast(train(ruled.where("rule_verdict is not null"), segmenter))
-
-    def judge(rows):
-        for page_id, host, path, rule, verdict in rows:
-            tokens = segmenter.value.tokens(host, path)
-            odds = model.value.log_odds(tokens) if rule is None else None
-            yield page_id, host, path, rule, verdict or ("block" if odds > 0 else "allow"), odds, tokens
-
-    return map_rows(ruled, judge, f"page_id {pages.schema['page_id'].dataType.simpleString()}, host string, path string, "
-                    "rule string, verdict string, log_odds double, tokens array<string>")
+    hosts = written(host_words(written(ruled.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "url-hosts"), pages), "url-host-words")
+    total = hosts.agg(F.sum("n")).first()[0] or 0
+    path = F.transform(F.regexp_extract_all("path", F.lit(_TOKENS), F.lit(0)), lambda t: F.concat(
+        F.lit("p:"), F.when(t.rlike("^[0-9]+$"), F.concat(F.lit("#"), F.length(t))).otherwise(F.lower(t))))
+    rows = by_frequency(ruled, hosts, "host", total).select(
+        F.monotonically_increasing_id().alias("row"), "page_id", "host", "path", "rule", "rule_verdict",
+        F.concat(F.transform("words", lambda w: F.concat(F.lit("h:"), w)), path).alias("tokens"))
+    judged = with_log_odds(written(rows, "url-rows"))
+    verdict = F.coalesce("rule_verdict", F.when(F.col("log_odds") > 0, "block").otherwise("allow"))
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "log_odds", "tokens")

@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -31,7 +33,7 @@ def test_query_equals_brute_force(spark):
 
 
 def judged(spark, rows):
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS host", "1 AS cell", "2 AS verdict")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS host", "1 AS n", "2 AS verdict", "3 AS row", "4 AS words")
     return {r.page_id: r for r in urls.judge_urls(df).collect()}
 
 
@@ -56,9 +58,14 @@ def test_no_labels_and_no_rows(spark):
     assert judged(spark, []) == {}
 
 
+def segmenter(spark, text):
+    """A segmenter with all words at hand, and those it looks up."""
+    counts = {r.word: r.n for r in urls.word_counts(spark.createDataFrame([(text,)], "html string")).collect()}
+    return urls.Segmenter({w: n for w, n in counts.items() if len(w) <= urls.SHORT}, sum(counts.values())), counts
+
+
 def test_viterbi_equals_enumeration(spark):
-    words = spark.createDataFrame([("the cat cats at sat them hem ".replace(" ", " <b>") * 3 + "the the cat",)], "html string")
-    seg = urls.Segmenter(urls.word_sketch(words))
+    seg, words = segmenter(spark, "the cat cats at sat them hem ".replace(" ", " <b>") * 3 + "the the cat")
 
     def cuts(s):
         if not s:
@@ -66,7 +73,38 @@ def test_viterbi_equals_enumeration(spark):
         for i in range(1, len(s) + 1):
             for rest in cuts(s[i:]):
                 yield [s[:i], *rest]
-    for label in ("thecat", "themcats", "xthezz", "catsat", "q"):
-        total = lambda c: sum(seg.log_probability(w) for w in c)
-        assert np.isclose(total(seg.split(label)), max(map(total, cuts(label))))
-    assert seg.split("thecat") == ["the", "cat"]
+    for label in ("thecat", "themcats", "xthezz", "catsat", "q", "zzcatsqqqq"):
+        total = lambda c: sum(seg.log_probability(w, words) for w in c)
+        assert np.isclose(total(seg.split(label, words)), max(map(total, cuts(label))))
+    assert seg.split("thecat", words) == ["the", "cat"]
+
+
+def test_words_are_split_alike_at_every_load():
+    words = {"free": 3_000, "casino": 2_000, "win": 1_500}
+    for load in (0, 30, 100, 4_000):  # other words of the corpus, in millions
+        seg = urls.Segmenter({"win": 1_500}, sum(words.values()) + load * 1_000_000)
+        assert seg.split("freecasinowin", words) == ["free", "casino", "win"]
+        assert seg.split("x" * 300, {}) == ["x" * 300]  # an unseen word of any length
+
+
+def test_long_words_hot_hosts_and_exact_tokens(spark, monkeypatch):
+    long = "pneumonoultramicroscopicsilico"
+    text = f"<p>{long} news {long} daily</p>"
+    rows = [(i, f"http://{long}news{i % 3}.example.com/{'de' if i % 2 else 'fr'}/{'bad' if i % 2 else 'good'}", text) for i in range(40)]
+    rows += [(100, f"http://dailynews.{long}.net/bad", text), (101, "http://dailynews.net/good", text), (102, "http://0.net/never", text)]
+    want = None
+    for hot in (1, 7, urls.HOT):  # few or all keys by broadcast
+        monkeypatch.setattr(urls, "HOT", hot)
+        got = judged(spark, rows)
+        assert got[100].tokens[:3] == ["h:daily", "h:news", f"h:{long}"] and got[0].tokens[:3] == [f"h:{long}", "h:news", "h:#1"]
+        assert (got[100].verdict, got[101].verdict) == ("block", "allow") and len(got) == len(rows)
+        want = want or got
+        assert got == want
+    # by hand: 20 labelled rows a class, tokens of three rows in test order
+    labelled = [(r.tokens, "/de/" in r.path) for r in got.values() if r.rule]
+    counts = [Counter(t for ts, c in labelled for t in ts if c == k) for k in (False, True)]
+    types = len(counts[0] | counts[1])
+    for i in (100, 101, 102):
+        odds = sum(math.log((counts[1][t] + 1) / (counts[1].total() + types)) - math.log((counts[0][t] + 1) / (counts[0].total() + types))
+                   for t in got[i].tokens)
+        assert abs(got[i].log_odds - odds) < 1e-6
