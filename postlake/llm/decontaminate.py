@@ -21,9 +21,12 @@ start of a sentence.
    item's windows with three literal words in five, or ``RUN`` windows of any
    kind in a row (13 words).  An item without such windows is matched by the
    share of its plain windows.
+5. An item of under five words is matched whole by a line, or a whole document,
+   of just its words: as a template if it has three literal words, else by
+   equal plain words.  Inside running text so few words are no evidence.
 
-Cases: null and short texts (under five words) have no windows and match
-nothing, as items and as documents.  An item's repeated rows count once.  Rows
+Cases: null and blank texts match nothing, as items and as documents.  An item's
+repeated rows count once.  Rows
 with a null doc_id are judged too; rows that repeat a doc_id are judged by
 text.  Empty tables give empty results.  Other columns are not read.
 """
@@ -71,10 +74,10 @@ def _code(word: str) -> int:
     return xxhash.xxh64_intdigest(low) & ~15 | flags | _UNIT * (low in UNITS)
 
 
-def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """(words, literal codes, readings) of a text.  A reading is (codes, kind of
-    placeholder or 0).  The first takes line breaks as spaces, the second, if it
-    differs, as sentence ends."""
+def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(words, literal codes, readings, line bounds) of a text.  A reading is
+    (codes, kind of placeholder or 0).  The first takes line breaks as spaces,
+    the second, if it differs, as sentence ends."""
     lines = [line.split() for line in (text or "").split("\n")]
     words = [w for line in lines for w in line]
     if len(_memory) > MEMORY:
@@ -88,16 +91,31 @@ def canonical(text: str | None) -> tuple[list[str], np.ndarray, list[tuple[np.nd
     after_number = np.append(False, flags[:-1] & _NUMBER > 0)[:len(words)]
     kind = np.where(flags & _NUMBER, _NUMBER, np.where((flags & _UNIT > 0) & after_number, _UNIT, np.where((flags & _NAME > 0) & ~begins, _NAME, 0)))
     plain = raw & ~np.uint64(15)
-    starts = np.cumsum([0] + [len(line) for line in lines])
+    bounds = np.cumsum([0] + [len(line) for line in lines])
     broken = kind.copy()
-    broken[(starts := starts[starts < len(words)])[kind[starts] == _NAME]] = 0
-    readings = []
-    for k in [kind] if np.array_equal(kind, broken) else [kind, broken]:
-        codes = plain.copy()
-        for place, code in _PLACE.items():
-            codes[k == place] = code
-        readings.append((codes, k))
-    return words, plain, readings
+    broken[(starts := bounds[bounds < len(words)])[kind[starts] == _NAME]] = 0
+    kinds = [kind] if np.array_equal(kind, broken) else [kind, broken]
+    return words, plain, [(_placed(plain, k), k) for k in kinds], bounds
+
+
+def _placed(plain: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Codes with placeholders for the words of a kind."""
+    codes = plain.copy()
+    for place, code in _PLACE.items():
+        codes[kind == place] = code
+    return codes
+
+
+def _whole_lines(plain: np.ndarray, kind: np.ndarray, at: np.ndarray, end: np.ndarray):
+    """(start, hash, kind or None) of short lines [at, end) as a whole."""
+    if len(at):
+        kind = kind.copy()
+        kind[at[kind[at] != _NUMBER]] = 0  # a line's first word begins a sentence and follows no number
+        literal = np.append(0, np.cumsum(kind == 0))
+        literal = literal[end] - literal[at]
+        template = (literal >= LITERALS) & (literal < end - at)
+        yield at[template], end[template], _hashes(_placed(plain, kind), at[template], end[template]), kind
+        yield at, end, _hashes(plain, at, end), None
 
 
 def _hashes(codes: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -124,15 +142,23 @@ def windows(codes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, end, _hashes(codes, at, end)
 
 
-def _slots(words, kind, at: int) -> list[str]:
+def _slots(words, kind, at: int, n: int = WINDOW) -> list[str]:
     """Values behind the placeholders of a window, with their place and type."""
-    return [f"{i}:{kind[at + i]}:{words[at + i].strip(_MARKS).lower()}" for i in range(WINDOW) if kind[at + i]]
+    return [f"{i}:{kind[at + i]}:{words[at + i].strip(_MARKS).lower()}" for i in range(n) if kind[at + i]]
 
 
 def _window_rows(rows, passed=None):
     """(*key, start, hash, slots, start counts into the share) of all windows."""
     for *key, text in rows:
-        words, plain, readings = canonical(text)
+        words, plain, readings, bounds = canonical(text)
+        lines = {(0, len(words))} | (set() if passed is None else set(zip(bounds.tolist(), bounds[1:].tolist(), strict=False)))
+        short = np.array(sorted((i, j) for i, j in lines if 0 < j - i < WINDOW), np.int64).reshape(-1, 2)
+        for at, end, h, kind in _whole_lines(plain, readings[-1][1], short[:, 0], short[:, 1]):
+            if passed is not None and len(at):
+                keep = passed(h)
+                at, end, h = at[keep], end[keep], h[keep]
+            for i, j, x in zip(at.tolist(), end.tolist(), h.view(np.int64).tolist(), strict=True):
+                yield *key, i, x, [] if kind is None else _slots(words, kind, i, j - i), True
         n = max(0, len(words) - WINDOW + 1)
         found, enough = [], np.zeros(n, bool)
         for r, (codes, kind) in enumerate(readings):

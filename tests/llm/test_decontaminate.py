@@ -41,7 +41,14 @@ def brute(rows, items):
         for i, key, values in wins(text):
             index.setdefault(key, []).append((item, i, values))
     found = {}
+    whole = {item: tokens(text) for item, text in items if 0 < len(tokens(text)) < 5}
     for doc, text in rows:
+        for line in [*(text or "").split("\n"), *([text] if len((text or "").split()) < 5 else [])]:
+            words = tokens(line)
+            for item, own in whole.items():
+                same = [w for w, _ in words] == [w for w, _ in own] and sum(v is None for _, v in own) >= 3
+                if words == own or same:
+                    found.setdefault(doc, set()).add(item)
         lines = {}
         for at, key, values in wins(text):
             for item, i, want in index.get(key, ()):
@@ -87,11 +94,11 @@ def test_reparameterised_questions(spark, frame, limit):
              prose, None, "", "too short item", ITEMS[1][1], ITEMS[1][1], "the train leaves the big old station"]
     ids = [0, 1, 2, 3, 4, 5, 6, None, 8, 9]
     docs, bench, got = flagged(spark, frame, texts, ids, broadcast_bytes=limit)
-    assert set(got) == {(0, 0), (2, 1), (None, 1), (8, 1)}
+    assert set(got) == {(0, 0), (2, 1), (None, 1), (6, 2), (8, 1)}
     assert got[0, 0].reparameterised and got[2, 1].reparameterised and not got[8, 1].reparameterised
-    assert {k: v for k, v in brute(list(zip(ids, texts, strict=True)), ITEMS).items()} == {0: [0], 2: [1], None: [1], 8: [1]}
+    assert {k: v for k, v in brute(list(zip(ids, texts, strict=True)), ITEMS).items()} == {0: [0], 2: [1], None: [1], 6: [2], 8: [1]}
     left = d.drop_contaminated(docs, bench)
-    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 6, 9]
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 9]
 
 
 def test_empty_tables(spark, frame):
@@ -127,3 +134,13 @@ def test_equal_windows_and_line_starts(spark, frame):
     texts = [item.replace("of Anna", "of Maria"), "Quiz\nWhat is the capital of France?", "Quiz\nWhat is the capital of Spain?",
              "he said what is\nthe capital of\nFrance to them"]
     assert matched(spark, frame, [item, "What is the capital of France?"], texts) == {(0, 0), (1, 1), (2, 1), (3, 1)}
+
+
+def test_short_items_are_matched_whole(spark, frame):
+    items = ["too short item", "Anna ate 12 plums", "What is 7?", "5 days", "Yes", "", None, "one\ntwo words"]
+    texts = ["intro of many words that goes on\nTOO short item.\nand on it goes for many words", "this text is too short item of nothing at all",
+             "Quiz\nAnna ate 40 plums\nend", "anna ate plums 12", "What is 8?", "so what is 7?\nwhat is 7?", "it took 5\ndays", "in 5\n5 days", "yes", "no\nyes and no",
+             "one two words", "", None]
+    assert matched(spark, frame, items, texts) == {(0, 0), (2, 1), (5, 2), (7, 3), (8, 4), (10, 7)}
+    want = brute(list(enumerate(texts)), list(enumerate(items)))
+    assert {(d_, i) for d_, own in want.items() for i in own} == {(0, 0), (2, 1), (5, 2), (7, 3), (8, 4), (10, 7)}
