@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from postlake.operators import decay_topk as dk
 from postlake.operators import sketches as sk
 from postlake.operators.bloom_store import BloomStore
 from postlake.operators.topk import hour_of
@@ -29,6 +30,40 @@ def q_approx_topk(spark, sf_dir):
     return sk.approx_topk(states, ["hour"], "topic", k=15).select("hour", "topic", "rank", "item_count")
 
 
+_LN = 0.10536051565782628  # ln(1 / 0.9)
+_HELD = """{name} AS (SELECT hour, batch, row, bucket, topic, n, sum(n + others) OVER cell - n AS others FROM {source}
+  WINDOW cell AS (PARTITION BY hour, batch, row, bucket)
+  QUALIFY row_number() OVER (PARTITION BY hour, batch, row, bucket ORDER BY n DESC, topic) = 1)"""
+
+
+@register("decaying_topk", sql=with_(EVENT_TOPICS) + f""",
+c AS (SELECT date_trunc('hour', ts) AS hour, CAST(floor(extract(minute FROM ts) / 20) AS INTEGER) AS batch, topic, count(*) AS n
+      FROM event_topics WHERE topic IS NOT NULL GROUP BY ALL),
+cells AS (SELECT hour, batch, r AS row, {_MD5.format(x="CAST(r AS VARCHAR) || ':' || topic", s=1)} % {dk.WIDTH} AS bucket, topic, n, 0 AS others
+          FROM c, range({dk.DEPTH}) AS rr(r)),
+{_HELD.format(name="state", source="cells")},
+keys AS (SELECT DISTINCT hour, batch FROM state),
+grown AS (SELECT s.hour, k.batch, s.row, s.bucket, s.topic, CAST(sum(s.n) AS BIGINT) AS n, CAST(sum(s.others) AS BIGINT) AS others
+          FROM state s JOIN keys k ON k.hour = s.hour AND s.batch <= k.batch GROUP BY ALL),
+{_HELD.format(name="merged", source="grown")},
+cut AS (SELECT *, 1 - others * {_LN} * pow(0.9::DOUBLE, n) AS rest FROM merged),
+items AS (SELECT hour, batch, topic, max(round(greatest(0, CASE WHEN rest > 0 THEN n + ln(rest) / {_LN} ELSE 0 END), 6)) AS item_count
+          FROM cut GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY hour, batch ORDER BY item_count DESC, topic) AS rank FROM items WHERE item_count > 0
+        QUALIFY rank <= {dk.TOPK_K}),
+after AS (SELECT hour, batch, lead(batch) OVER (PARTITION BY hour ORDER BY batch) AS next FROM keys)
+SELECT t.hour, t.batch, t.topic, t.rank, CAST(t.item_count AS DOUBLE) AS item_count, a.next IS NOT NULL AND s.topic IS NULL AS evicted
+FROM top t JOIN after a ON a.hour = t.hour AND a.batch = t.batch
+LEFT JOIN top s ON s.hour = t.hour AND s.batch = a.next AND s.topic = t.topic""")
+def q_decaying_topk(spark, sf_dir):
+    """Top topics of every hour so far, after each of its three parts, and those
+    that the next part evicts."""
+    t = event_topics(spark, sf_dir).select(hour_of(F.col("ts")).alias("hour"), F.floor(F.minute("ts") / 20).cast("int").alias("batch"), "topic")
+    path = scratch_path(spark, "topic-tables")
+    dk.count_table(t, ["hour", "batch"], "topic").write.parquet(path)
+    return dk.top_by_batch(spark.read.parquet(path), ["hour"], "batch").select("hour", "batch", F.col("item").alias("topic"), "rank", "item_count", "evicted")
+
+
 @register("count_min", sql=with_(EVENT_TOPICS) + f""",
 t AS (SELECT date_trunc('hour', ts) AS hour, topic FROM event_topics),
 b AS (SELECT hour, topic, r AS row,
