@@ -24,6 +24,7 @@ start of a sentence.
 5. An item of under five words is matched whole by a line, or a whole document,
    of just its words: as a template if it has three literal words, else by
    equal plain words.  Inside running text so few words are no evidence.
+   Without such items no lines are looked up.
 
 Cases: null and blank texts match nothing, as items and as documents.  An item's
 repeated rows count once.  Rows
@@ -147,18 +148,20 @@ def _slots(words, kind, at: int, n: int = WINDOW) -> list[str]:
     return [f"{i}:{kind[at + i]}:{words[at + i].strip(_MARKS).lower()}" for i in range(n) if kind[at + i]]
 
 
-def _window_rows(rows, passed=None):
-    """(*key, start, hash, slots, start counts into the share) of all windows."""
+def _window_rows(rows, passed=None, whole=True):
+    """(*key, start, hash, slots, start counts into the share, whole line) of
+    all windows and, if asked for, of short lines as a whole."""
     for *key, text in rows:
         words, plain, readings, bounds = canonical(text)
-        lines = {(0, len(words))} | (set() if passed is None else set(zip(bounds.tolist(), bounds[1:].tolist(), strict=False)))
+        lines = {(0, len(words))} if whole else set()
+        lines |= set(zip(bounds.tolist(), bounds[1:].tolist(), strict=False)) if whole and passed is not None else set()
         short = np.array(sorted((i, j) for i, j in lines if 0 < j - i < WINDOW), np.int64).reshape(-1, 2)
         for at, end, h, kind in _whole_lines(plain, readings[-1][1], short[:, 0], short[:, 1]):
             if passed is not None and len(at):
                 keep = passed(h)
                 at, end, h = at[keep], end[keep], h[keep]
             for i, j, x in zip(at.tolist(), end.tolist(), h.view(np.int64).tolist(), strict=True):
-                yield *key, i, x, [] if kind is None else _slots(words, kind, i, j - i), True
+                yield *key, i, x, [] if kind is None else _slots(words, kind, i, j - i), True, True
         n = max(0, len(words) - WINDOW + 1)
         found, enough = [], np.zeros(n, bool)
         for r, (codes, kind) in enumerate(readings):
@@ -180,13 +183,13 @@ def _window_rows(rows, passed=None):
                 keep = passed(h)
                 at, h = at[keep], h[keep]
             for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
-                yield *key, i, x, [] if kind is None else _slots(words, kind, i), bool(enough[i])
+                yield *key, i, x, [] if kind is None else _slots(words, kind, i), bool(enough[i]), False
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_at, key, item_slots, counts, n_windows) of all items."""
+    """(item_id, item_at, key, item_slots, counts, whole, n_windows) of all items."""
     rows = map_rows(benchmark.select("item_id", "text").dropDuplicates(), _window_rows,
-                    "item_id long, item_at int, key long, item_slots array<string>, counts boolean")
+                    "item_id long, item_at int, key long, item_slots array<string>, counts boolean, whole boolean")
     rows = written(rows.dropDuplicates(["item_id", "item_at", "key"]), "item-windows")
     size = rows.groupBy("item_id").agg(F.count_distinct(F.when(F.col("counts"), F.col("item_at"))).alias("n_windows"))
     return rows.join(size, "item_id")
@@ -232,14 +235,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = B
     contaminated document and item."""
     items = written(benchmark_windows(benchmark), "items")
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(items))
-    size = items.agg(F.sum(F.lit(64) + F.octet_length(F.array_join("item_slots", ",")))).first()[0] or 0
+    size, whole = items.agg(F.sum(F.lit(64) + F.octet_length(F.array_join("item_slots", ","))), F.max("whole")).first()
 
     def passed(h):
         return (bits.value[(h >> np.uint64(64 - BITS + 6)).astype(np.int64)] >> ((h >> np.uint64(64 - BITS)) & np.uint64(63)) & np.uint64(1)) > 0
 
     own = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    found = map_rows(own, lambda rows: (r[:-1] for r in _window_rows(rows, passed)), "doc_id long, text_hash long, at int, key long, slots array<string>")
-    hits = found.join(F.broadcast(items) if size <= broadcast_bytes else items.hint("merge"), "key")
+    found = map_rows(own, lambda rows: (r[:-2] for r in _window_rows(rows, passed, bool(whole))), "doc_id long, text_hash long, at int, key long, slots array<string>")
+    hits = found.join(F.broadcast(items) if (size or 0) <= broadcast_bytes else items.hint("merge"), "key")
     hits = hits.where("transform(slots, s -> substring_index(s, ':', 2)) = transform(item_slots, s -> substring_index(s, ':', 2))")
     group = ("doc_id", "text_hash", "item_id")
     lines = (hits.withColumn("shift", F.col("at") - F.col("item_at")).groupBy(*group, "shift", "n_windows")
