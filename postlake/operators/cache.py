@@ -33,6 +33,8 @@ from postlake.operators.knn import matrix, nearest
 from postlake.session import scratch_path
 
 WINDOW = 2000
+#: Distances that a task holds at once.
+SCORE_CELLS = 1_000_000
 _STATE = "id long, vec array<double>, blank boolean, best double, source long, cached boolean"
 
 
@@ -60,10 +62,12 @@ def _score(leaders):
     """Best earlier entry of each row, given the broadcast new leaders."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, unit = leaders.value
-        for batch in batches:
+        step = max(1, SCORE_CELLS // max(1, len(ids)))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             own, best = batch["id"].to_numpy(), batch["best"].to_numpy(zero_copy_only=False).astype(float)
             source, cached = batch["source"].to_pylist(), batch["cached"].to_pylist()
-            d = 1.0 - matrix(batch["vec"], unit.shape[1]) @ unit.T
+            d = matrix(batch["vec"], unit.shape[1]) @ unit.T
+            np.subtract(1.0, d, out=d)
             d[ids[None, :] >= own[:, None]] = np.inf
             at = d.argmin(1)
             low = d[np.arange(len(d)), at]

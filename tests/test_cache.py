@@ -45,3 +45,22 @@ def test_initial_cache_and_blank_answers(spark):
                semantic_cache_fill(req, 0.2, cache=cache, blank_col="blank", window=window).collect()}
         assert got == {1: (True, 100, True), 2: (False, 2, False), 3: (False, 3, False), 4: (True, 3, False), 5: (True, 100, True), 6: (False, 6, False)}
     assert semantic_cache_fill(req.limit(0), 0.2).count() == 0
+
+
+def test_scores_are_held_in_small_slices(monkeypatch):
+    """A task scores as many rows at once as ``SCORE_CELLS`` allows, not a whole Arrow batch."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from postlake.operators import cache
+    monkeypatch.setattr(cache, "SCORE_CELLS", 60, raising=False)
+    vecs = np.random.default_rng(1).normal(size=(100, 4))
+    ids, unit = np.arange(20), vecs[:20] / np.linalg.norm(vecs[:20], axis=1, keepdims=True)
+    batch = pa.record_batch([pa.array(range(100)), pa.array(vecs.tolist()), pa.array([False] * 100), pa.nulls(100, pa.float64()),
+                             pa.nulls(100, pa.int64()), pa.array([False] * 100)], names=["id", "vec", "blank", "best", "source", "cached"])
+    out = list(cache._score(SimpleNamespace(value=(ids, unit)))([batch]))
+    assert max(b.num_rows for b in out) == 3 and sum(b.num_rows for b in out) == 100
+    near = 1 - (vecs / np.linalg.norm(vecs, axis=1, keepdims=True)) @ unit.T
+    near[ids[None, :] >= np.arange(100)[:, None]] = np.inf
+    assert [r["source"] for b in out for r in b.to_pylist()][1:] == near.argmin(1)[1:].tolist()
