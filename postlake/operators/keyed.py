@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.operators.tables import SEARCH_LOOKBACK_HOURS, SEARCH_PAGE_SIZE
+from postlake.operators.topics import saved
 
 BUCKET_ROWS = 500_000
 
@@ -59,10 +60,12 @@ class KeyedTable:
         return rows.select(*self.schema.names).withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
 
     def _merge(self, rows: DataFrame) -> DataFrame:
-        """The newest row per key; keys are merged map-side first."""
+        """The newest row per key.  The rows are dealt by bucket once, for the
+        merge and the write, and the greatest (has an order value, order value,
+        other columns) is the row itself, so it is moved once and held once."""
         other = [c for c in self.schema.names if c != self.key]
-        order = F.struct(F.col(self.order_col).isNotNull(), F.col(self.order_col), F.struct(*other))
-        best = rows.groupBy("bucket", self.key).agg(F.max_by(F.struct(*other), order).alias("__r"))
+        order = F.struct(F.col(self.order_col).isNotNull().alias("__has"), F.col(self.order_col).alias("__order"), *other)
+        best = rows.repartition("bucket").groupBy("bucket", self.key).agg(F.max(order).alias("__r"))
         return best.select(*(F.col(self.key) if c == self.key else F.col(f"__r.{c}").alias(c) for c in self.schema.names), "bucket")
 
     def upsert(self, rows: DataFrame) -> list[int]:
@@ -71,7 +74,7 @@ class KeyedTable:
         touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())  # at most ``buckets`` numbers
         if touched:
             old = self._stored().where(F.col("bucket").isin(touched))
-            self._write(self._merge(new.unionByName(old)))
+            self._write(self._merge(new.unionByName(old)), dealt=True)
         return touched
 
     def update_field(self, updates: DataFrame, field: str) -> list[int]:
@@ -83,13 +86,15 @@ class KeyedTable:
         touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())
         if touched:
             old = self._stored().where(F.col("bucket").isin(touched))
+            # Written, so that Spark knows the size and need not move the table for a small update.
+            new = saved(new, "field-updates")
             joined = old.join(new.drop("bucket"), old[key].eqNullSafe(new["__k"]), "left")
             kept = F.when(F.col("__v").isNotNull(), F.col("__v")).otherwise(F.col(field))
             self._write(joined.select(*(kept.alias(c) if c == field else F.col(c) for c in self.schema.names), "bucket"))
         return touched
 
-    def _write(self, rows: DataFrame) -> None:
-        (rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    def _write(self, rows: DataFrame, dealt: bool = False) -> None:
+        ((rows if dealt else rows.repartition("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket").parquet(self.path))
 
 

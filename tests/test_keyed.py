@@ -71,3 +71,16 @@ def test_cursors_give_the_ranked_pages(spark):
     assert got == [(r.uri, r.page_no) for r in ranked] and len({u for u, _ in got}) == len(got)
     empty, none = keyed.search_page(posts, "nowhere", as_of)
     assert empty.count() == 0 and none is None
+
+
+def test_an_upsert_moves_its_rows_once(spark):
+    """One exchange deals the rows for the merge and the write."""
+    df = spark.range(500).selectExpr("concat('key', id % 100) AS id", "id AS v", "cast(null AS long) AS t")
+    table = keyed.KeyedTable(spark, scratch_path(spark, "kt"), df.schema, "id", "t", 4)
+    merged = table._merge(table._bucketed(df))
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange ") == 1, plan
+    table.upsert(df)
+    assert _rows(table.read()) == sorted(((f"key{i}", 400 + i, None) for i in range(100)), key=str)
+    assert len(_files(table.path)) == 4
