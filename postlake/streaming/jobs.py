@@ -30,11 +30,16 @@ from postlake.sources import events as ev
 ALLOWED_LATENESS = "1 hour"
 #: Rows of one arriving file, at most, where a step has many.
 ROWS_PER_FILE = 1_000_000
+#: Rows of one arriving file, at least, where a step has one for each core.
+LEAST_ROWS = 2_000
 
 
 def files_per_step(df: DataFrame, steps: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Files of one arrival step: as many as its rows need, two at least."""
-    return max(2, -(-df.count() // (steps * rows_per_file)))
+    """Files of one arrival step: as many as its rows need, two at least, and one
+    for each core where every file still has ``LEAST_ROWS`` (tasks write and
+    read a step by its files)."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return max(2, -(-rows // (steps * rows_per_file)), min(cores, rows // (steps * LEAST_ROWS)))
 
 
 def arriving_files(df: DataFrame, order_col: str, files: int = 4, newest_first: bool = False, per_step: int = 1) -> str:
