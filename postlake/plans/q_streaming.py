@@ -121,10 +121,12 @@ def stream_enrich(spark, sf_dir):
         known = jobs.earlier(spark, base + "/vocabulary", batch_id)
         raw = found.select("doc_id", "time_us", F.explode("topics").alias("topic"))
         grown = topics.saved(topics.grow_vocabulary(raw, known), "grown")
-        rows = (raw.join(grown.select("topic", "canonical"), "topic")
-                .select("doc_id", micros_to_ts(F.col("time_us")).alias("ts"), F.col("canonical").alias("topic")).distinct())
-        own = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
-        table = found.select("doc_id", "uri").join(own, "doc_id", "left")
+        # A post's topics once, as one row; table and counts both reread it.
+        said = topics.saved(raw.join(grown.select("topic", "canonical"), "topic").groupBy("doc_id", "time_us")
+                            .agg(F.collect_set("canonical").alias("topics")), "said")
+        rows = said.select(micros_to_ts(F.col("time_us")).alias("ts"), F.explode("topics").alias("topic"))
+        own = said.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("topics")))).alias("topics"))
+        table = found.select("doc_id", "uri").join(own.hint("merge"), "doc_id", "left")
         for name, out in (("posts", table), ("counts", topk.hourly_counts(rows)), ("vocabulary", grown.where("is_new").select("topic"))):
             out.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
 

@@ -113,3 +113,29 @@ def test_raw_lines_and_quarantine(spark):
     seen = [p["observedMetrics"]["raw"] for p in progress if "raw" in p["observedMetrics"]]
     assert sum(s["rows"] for s in seen) == rows.count() and sum(s["quarantined"] for s in seen) == bad > 0
     assert out.where("sink = 'quarantine'").count() == bad and out.where("line IS NOT NULL AND uri IS NOT NULL").count() == 0
+
+
+def test_a_step_has_a_file_for_each_core(spark):
+    """A large step is written and read by all cores, a small one by two."""
+    from postlake.streaming import jobs
+    cores = spark.sparkContext.defaultParallelism
+    assert jobs.files_per_step(spark.range(400_000)) == max(2, cores) > 2 == jobs.files_per_step(spark.range(200))
+    path = jobs.arriving_files(spark.range(40_000), "id", 4, per_step=cores)
+    assert len(spark.read.parquet(path).inputFiles()) == 4 * cores and spark.read.parquet(path).count() == 40_000
+
+
+def test_enrich_finds_a_post_once_and_counts_it_from_there(spark):
+    """The posts' topics are one written row a post, from which table and counts come."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from postlake.plans.q_streaming import stream_enrich
+    from postlake.session import shared_dir
+    before = set(glob.glob(shared_dir(spark) + "/said-*"))
+    base = stream_enrich(spark, SF001)
+    said = spark.read.parquet(*(set(glob.glob(shared_dir(spark) + "/said-*")) - before))
+    assert said.count() == said.select("doc_id").distinct().count() > 0
+    total = spark.read.parquet(base + "/counts").agg(F.sum("topic_count")).first()[0]
+    assert total == said.agg(F.sum(F.size("topics"))).first()[0]
+    assert total == spark.read.parquet(base + "/posts").agg(F.sum(F.greatest(F.size("topics"), F.lit(0)))).first()[0]
