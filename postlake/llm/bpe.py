@@ -210,10 +210,12 @@ class WordBpe:
             ids = self.exact(w) if i in failing or not tokens[i] else tokens[i]
             self.cache[w] = np.array(ids, "<u4").tobytes(), " ".join(self.token[t] for t in ids)
 
+    def normal(self, text: str) -> str:
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # one character at a time: no final sigma
+
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # one character at a time: no final sigma
-        return self.word.findall(text)
+        return self.word.findall(self.normal(text))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         """For each text its ids (little-endian unsigned 32 bit) and decoding."""

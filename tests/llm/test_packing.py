@@ -81,3 +81,36 @@ def test_neighbours_share_windows():
     full = [s for s in packing.fill_windows(rests, idf, 40.0, 256) if sum(n for *_, n in s) == 256]
     pure = sum(max(np.bincount([topic[d] for d, *_ in s])) / len(s) for s in full) / len(full)
     assert len(full) == 25 and pure > 0.85  # 1/8 by chance
+
+
+ODD = ["a.b.,c ...x. don't. o'clock's! 's.t", "é. ÷. ø; ß: 1. 12.5, ²! x y\x1cz.\x85w", "İ. ΑΣ. ǅ, K; 漢字. é. ́.", " a. b", "<|endoftext|>. <|startoftext|>a.", None, "", "  \n\t ",
+       "The the THE. (the) \"the,\" the?! the:the"]
+
+
+@pytest.mark.parametrize("cache", [500_000, 6])
+def test_chunks_give_the_ids_of_whole_texts(library, monkeypatch, cache):
+    monkeypatch.setattr(packing, "CACHE_WORDS", cache)
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        coder = packing.Encoder(f.read())
+    rng = random.Random(6)
+    odd = "aB1²'.,;!?:é÷Σİ漢́ \x1c\x85 \n"
+    for texts in (ODD, ["".join(rng.choice(odd) for _ in range(rng.randrange(40))) for _ in range(300)], ODD[::-1]):
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert coder.encode(texts) == want
+        assert [coder.encode([t])[0] for t in texts] == want
+
+
+def test_known_chunks_are_not_divided_again():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        coder = packing.Encoder(f.read())
+    want = coder.encode(["One two, three.", "Été. two"])
+    coder.latin = coder.lines = None  # any use of the word pattern fails
+    assert coder.encode(["ONE\ttwo, three.", "été. TWO"]) == want
+
+
+def test_postings_of_used_documents_go(monkeypatch):
+    rests = [np.array([i % 7, 10 + i % 5, 20], "<u4").tobytes() for i in range(100)]
+    left, keep = [], packing.Shard.keep
+    monkeypatch.setattr(packing.Shard, "keep", lambda self, unused: keep(self, unused) or left.append((len(self.doc), 3 * int(unused.sum()))))
+    assert sum(n for s in packing.fill_windows(rests, np.ones(21), 3.0, 16) for *_, n in s) == 300
+    assert len(left) > 5 and all(n == m for n, m in left) and left[-1][0] < 60
